@@ -7,6 +7,7 @@ from .aggregates import (  # noqa: F401
     count_where,
     max_where,
     mean_of,
+    n_rows,
     pct,
     rate,
 )

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from .expressions import ColumnLike, _c, is_true, round_to
 
 
+def n_rows() -> Column:
+    return F.count(F.lit(1))
+
+
 def count_where(cond: ColumnLike) -> Column:
     """Rows for which ``cond`` is true; 0, never NULL."""
     return F.count_if(_c(cond))
