@@ -35,7 +35,7 @@ def _(t):
 @query("ml_kmeans_fit")
 def _(t):
     """Centroids of the fitted segmentation, one row per cluster and feature."""
-    model = clustering.fit_segments(t("fan_features"))
+    model = _segmentation(t)
     rows = [
         (k, f, x)
         for k, center in enumerate(clustering.centers_of(model))
@@ -106,9 +106,7 @@ def _(t):
 
 @query("ml_segment_table")
 def _(t):
-    features = t("fan_features")
-    model = clustering.fit_segments(features, restarts=3, max_iter=100)
-    return clustering.segment_scores(model, features)
+    return clustering.segment_scores(_segmentation(t), t("fan_features"))
 
 
 SPLIT = """SELECT customer_id, churn_flag,
@@ -132,40 +130,57 @@ def _(t):
     return churn.class_weight(t("fan_features"), "churn_flag")
 
 
-def _fitted(t, rounds=40):
+_MODELS: dict[tuple, object] = {}
+
+
+def _once(t, name, fit):
+    """Fit a model once per application and source folder."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, name)
+    if key not in _MODELS:
+        _MODELS[key] = fit()
+    return _MODELS[key]
+
+
+def _segmentation(t):
+    return _once(t, "segments", lambda: clustering.fit_segments(t("fan_features")))
+
+
+def _splits(t):
     """Train / validation / test from two nested splits; the test rows stay unseen."""
     marked = churn.stratified_split(t("fan_features"), "churn_flag", "customer_id")
     inner = churn.stratified_split(
         marked.filter(~F.col("is_test")), "churn_flag", "customer_id", seed=43, name="is_valid"
     )
     train, valid = inner.filter(~F.col("is_valid")), inner.filter("is_valid")
-    return churn.fit_churn(train, valid, rounds=rounds), marked.filter("is_test")
+    return train, valid, marked.filter("is_test")
+
+
+def _churn_model(t, rounds=40):
+    train, valid, _ = _splits(t)
+    return _once(t, "churn", lambda: churn.fit_churn(train, valid, rounds=rounds))
 
 
 @query("ml_churn_fit")
 def _(t):
     """Quality of a fitted model on the held-out rows."""
-    model, test = _fitted(t)
+    model, test = _churn_model(t), _splits(t)[2]
     scored = churn.score_churn(model, test).join(test.select("customer_id", "churn_flag"), "customer_id")
     return metrics.auc(scored, "churn_flag", "churn_probability")
 
 
 @query("ml_churn_score")
 def _(t):
-    model, _ = _fitted(t, rounds=20)
-    return churn.score_churn(model, t("fan_features"))
+    return churn.score_churn(_churn_model(t), t("fan_features"))
 
 
 @query("ml_feature_importance")
 def _(t):
-    model, _ = _fitted(t, rounds=20)
-    return churn.importances(model, t.spark)
+    return churn.importances(_churn_model(t), t.spark)
 
 
 @query("topk_list")
 def _(t):
-    model, _ = _fitted(t, rounds=20)
-    return top_k(churn.importances(model, t.spark), ["-importance"], 5, tie_break="feature")
+    return top_k(churn.importances(_churn_model(t), t.spark), ["-importance"], 5, tie_break="feature")
 
 
 SCORED = "(SELECT churn_flag, churn_probability FROM fan_features JOIN ml_churn_scores USING (customer_id))"
