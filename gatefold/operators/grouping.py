@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.aggregates import any_flag, any_flag_nullable, count_where, mean_of, rate
 from ..functions.expressions import days_between, round_to
+from .joins import left_agg_join
 
 
 def mode_by(df: DataFrame, by: Sequence[str], col: str, name: str) -> DataFrame:
@@ -26,6 +27,16 @@ def mode_by(df: DataFrame, by: Sequence[str], col: str, name: str) -> DataFrame:
     return best.select(*by, F.col(f"_best.{col}").alias(name))
 
 
+def distinct_count_by(df: DataFrame, by: str, col: str, name: str) -> DataFrame:
+    """Distinct non-NULL values per group.
+
+    Only the two columns are shuffled, spread by (group, value). Inside a wide aggregation a
+    distinct count would drag every measure's buffer through that same shuffle.
+    """
+    pairs = df.select(by, col).distinct()
+    return pairs.groupBy(by).agg(F.count(col).alias(name))
+
+
 def agg_customer(fact: DataFrame, as_of: Column | str, key: str = "customer_id") -> DataFrame:
     """Ticket behaviour per customer (18 measures)."""
     reference = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
@@ -37,7 +48,6 @@ def agg_customer(fact: DataFrame, as_of: Column | str, key: str = "customer_id")
         round_to(F.sum("ticket_price"), 2).alias("total_spend"),
         mean_of("ticket_price", 2).alias("avg_ticket_price"),
         round_to(F.max("ticket_price"), 2).alias("max_ticket_price"),
-        F.count_distinct("game_id").alias("games_attended"),
         F.count("ticket_id").alias("total_tickets"),
         days_between(reference, F.max("game_date")).alias("days_since_last"),
         count_where("is_promo_ticket").alias("promo_tickets"),
@@ -48,9 +58,13 @@ def agg_customer(fact: DataFrame, as_of: Column | str, key: str = "customer_id")
         any_flag("is_jersey_night_game").alias("jersey_night_attendee"),
         any_flag("is_lapsed_reactivation").alias("was_lapsed_reactivation"),
         *[flag.alias(name) for name, flag in phase_seen.items()],
-        F.count_distinct("purchase_channel").alias("channels_used"),
     )
-    return measures.join(mode_by(fact, [key], "section_tier", "preferred_section"), key, "left")
+    parts = [
+        distinct_count_by(fact, key, "game_id", "games_attended"),
+        distinct_count_by(fact, key, "purchase_channel", "channels_used"),
+        mode_by(fact, [key], "section_tier", "preferred_section"),
+    ]
+    return left_agg_join(measures, parts, key)
 
 
 def agg_customer_promo(promo: DataFrame, key: str = "customer_id") -> DataFrame:
@@ -64,13 +78,12 @@ def agg_customer_promo(promo: DataFrame, key: str = "customer_id") -> DataFrame:
 
 def agg_event(fact: DataFrame, key: str = "game_id", premium_rank: int = 4) -> DataFrame:
     """Ticket sales per event (13 measures)."""
-    return fact.groupBy(key).agg(
+    measures = fact.groupBy(key).agg(
         round_to(F.sum("ticket_price"), 2).alias("gross_revenue"),
         mean_of("ticket_price", 2).alias("avg_ticket_price"),
         round_to(F.max("ticket_price"), 2).alias("max_ticket_price"),
         round_to(F.min("ticket_price"), 2).alias("min_ticket_price"),
         F.count("ticket_id").alias("tickets_sold"),
-        F.count_distinct("customer_id").alias("unique_buyers"),
         count_where("is_promo_ticket").alias("promo_tickets"),
         rate("is_promo_ticket").alias("promo_rate"),
         mean_of("days_before_game", 1).alias("avg_days_before_game"),
@@ -79,6 +92,8 @@ def agg_event(fact: DataFrame, key: str = "game_id", premium_rank: int = 4) -> D
         count_where("is_lapsed_reactivation").alias("lapsed_reactivation_count"),
         rate(F.col("seat_tier_rank") >= premium_rank).alias("premium_seat_rate"),
     )
+    buyers = distinct_count_by(fact, key, "customer_id", "unique_buyers")
+    return left_agg_join(measures, [buyers], key)
 
 
 def agg_event_promo(promo: DataFrame, key: str = "game_id") -> DataFrame:
@@ -107,45 +122,42 @@ def visits(fact: DataFrame, key: str = "customer_id") -> DataFrame:
     )
 
 
-def timeline_of_visits(
-    seen: DataFrame, key: str = "customer_id", *extra: Column
-) -> DataFrame:
-    """Customer timeline from :func:`visits`."""
-    first_phase = F.min_by(
-        "season_phase", F.when(F.col("season_phase").isNotNull(), F.struct("game_date", "game_id"))
+def visit_history(fact: DataFrame, key: str = "customer_id") -> DataFrame:
+    """Timeline and second visit date per customer in one pass over the fact.
+
+    The window runs over visits, so a customer contributes at most one row per event and
+    phase however many tickets they hold; the aggregation reuses its partitioning. The entry
+    phase is that of the earliest event (then smallest event id) and becomes a grouping key,
+    which keeps every aggregation buffer fixed-width.
+    """
+    whole = (
+        Window.partitionBy(key)
+        .orderBy("game_date", "game_id")
+        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
+    seen = visits(fact, key).withColumns(
+        {
+            "acquisition_phase": F.first("season_phase", ignorenulls=True).over(whole),
+            "_first": F.min("game_date").over(whole),
+        }
     )
     promo_share = F.sum("promo_tickets").cast("double") / F.nullif(F.sum("tickets"), F.lit(0))
-    return seen.groupBy(key).agg(
+    later = F.when(F.col("game_date") > F.col("_first"), F.col("game_date"))
+    return seen.groupBy(key, "acquisition_phase").agg(
         F.min("game_date").alias("first_purchase_date"),
         F.max("last_date").alias("last_purchase_date"),
         F.count_distinct("game_id").alias("total_games"),
         round_to(F.sum("spend"), 2).alias("total_spend"),
-        first_phase.alias("acquisition_phase"),
         F.bool_or("jersey").alias("attended_jersey_night"),
         F.bool_or("promo").alias("ever_used_promo"),
         round_to(promo_share, 4).alias("overall_promo_rate"),
-        *extra,
+        F.min(later).alias("second_purchase_date"),
     )
 
 
-def visit_history(fact: DataFrame, key: str = "customer_id") -> DataFrame:
-    """Timeline plus second visit date in one pass over the fact.
-
-    The window runs over visits, so a customer contributes at most one row per event and
-    phase however many tickets they hold; the aggregation reuses its partitioning.
-    """
-    order = F.dense_rank().over(Window.partitionBy(key).orderBy("game_date"))
-    ranked = visits(fact, key).withColumn("_visit", order)
-    second = F.min(F.when(F.col("_visit") == 2, F.col("game_date")))
-    return timeline_of_visits(ranked, key, second.alias("second_purchase_date"))
-
-
 def timeline(fact: DataFrame, key: str = "customer_id") -> DataFrame:
-    """First and last visit, spend, entry phase and promo use per customer.
-
-    The entry phase is that of the earliest event (then smallest event id).
-    """
-    return timeline_of_visits(visits(fact, key), key)
+    """First and last visit, spend, entry phase and promo use per customer."""
+    return visit_history(fact, key).drop("second_purchase_date")
 
 
 def nth_visit(

@@ -9,8 +9,10 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import roles
+from ..operators.sets import union_sources
 from ..session import scratch_dir
 from ..sources.layers import write_keyed, write_layer
 from . import gold, silver
@@ -22,6 +24,13 @@ def _bronze(name: str):
     return lambda spark, sf: getattr(roles, name)(spark, sf)
 
 
+def _raw_tickets_all(spark, sf):
+    text = {c: F.col(c).cast("string") for c in ("seat_row", "seat_number")}
+    return union_sources(
+        stored(spark, sf, "raw_tickets").withColumns(text), stored(spark, sf, "raw_tickets_stream")
+    )
+
+
 def _dim_game(spark, sf):
     return silver.build_dim_game(stored(spark, sf, "raw_events"))
 
@@ -70,14 +79,14 @@ def _scores(spark, sf):
     return roles.rule_scores(stored(spark, sf, "fan_features"))
 
 
-# name -> (layer, builder, unique key the stored rows are bucketed by)
+# name -> (layer, builder, unique key the stored rows are bucketed by); a "view" is not stored.
 TABLES = {
     "raw_events": ("bronze", _bronze("raw_events"), None),
     "raw_customers": ("bronze", _bronze("raw_customers"), None),
     "raw_customers_stream": ("bronze", _bronze("raw_customers_stream"), None),
     "raw_tickets": ("bronze", _bronze("raw_tickets"), None),
     "raw_tickets_stream": ("bronze", _bronze("raw_tickets_stream"), None),
-    "raw_tickets_all": ("bronze", _bronze("raw_tickets_all"), None),
+    "raw_tickets_all": ("view", _raw_tickets_all, None),
     "raw_promotions": ("bronze", _bronze("raw_promotions"), None),
     "dim_game": ("silver", _dim_game, None),
     "dim_customer": ("silver", _dim_customer, "customer_id"),
@@ -101,7 +110,9 @@ def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         tag = hashlib.md5(sf_dir.encode()).hexdigest()[:10]
         base = f"{scratch_dir(spark)}/tables-{tag}"
         df = build(spark, sf_dir)
-        if name == "fan_features":
+        if layer == "view":
+            _BUILT[key] = df
+        elif name == "fan_features":
             _BUILT[key] = write_keyed(df, base, layer, name, ["customer_id"], bucket_by=bucket_key)
         else:
             _BUILT[key] = write_layer(df, base, layer, name, bucket_by=bucket_key)

@@ -218,12 +218,6 @@ def raw_tickets_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_tickets_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both ticket sources as landed, before any rule."""
-    text = {c: F.col(c).cast("string") for c in ("seat_row", "seat_number")}
-    return raw_tickets(spark, sf_dir).withColumns(text).unionByName(raw_tickets_stream(spark, sf_dir))
-
-
 def raw_promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every discounted line above five percent; returned lines were not redeemed."""
     n = F.col("game_number")
