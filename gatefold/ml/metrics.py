@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import round_to
-from ..operators.windows import running_sum_scalable
+from ..operators.prefix import prefix_sums
 
 
 def auc(df: DataFrame, label: str, score: str) -> DataFrame:
@@ -23,10 +23,10 @@ def auc(df: DataFrame, label: str, score: str) -> DataFrame:
             F.count_if(F.col(label) == 0).alias("_neg"),
         )
     )
-    below = running_sum_scalable(counted, "_neg", [score], "_upto")
+    below = prefix_sums(counted, [], [score], ["_neg"])
     won = F.sum(
-        F.col("_pos").cast("decimal(20,0)")
-        * (F.col("_upto") * 2 - F.col("_neg")).cast("decimal(18,0)")
+        F.col("_pos").cast("decimal(18,0)")
+        * (F.col("_neg_before") * 2 + F.col("_neg")).cast("decimal(20,0)")
     )
     pairs = F.sum("_pos").cast("double") * F.sum("_neg").cast("double")
     return below.agg(

@@ -1,133 +1,82 @@
 """Exact quantiles without gathering a group in one task.
 
 ``percentile`` keeps every distinct value of a group in one aggregation buffer. Here values
-are counted, range-partitioned by (group, column, value), and the wanted ranks are located
-from slice totals, so the work of one hot group is spread over many tasks.
+are counted, their ranks come from :func:`prefix_sums`, and only the rows that hold a wanted
+rank go into the result, so the work of one hot group is spread over many tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..functions.expressions import round_to
+from .prefix import prefix_sums
 
 
 def exact_quantiles(
     df: DataFrame, by: Sequence[str], cols: Sequence[str], ps: Sequence[float]
 ) -> DataFrame:
-    """(by..., column_name, q0, q1, ...) with linear interpolation between neighbours.
+    """(by..., column_name, n_values, mean, min, max, q0, q1, ...) per group and column.
 
-    All ``cols`` go through one pass. NULLs are ignored; a group whose column holds only
-    NULLs gives no row.
+    Quantiles interpolate linearly between neighbours. All ``cols`` go through one pass.
+    NULLs are ignored; a group whose column holds only NULLs gives no row.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    long = df.select(
-        *by,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_v"))
-                    for c in cols
-                ]
-            )
-        ),
-    ).filter(F.col("_v").isNotNull())
-    keys = [*by, "column_name"]
-    freq = long.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = (
-        freq.repartitionByRange(slices, *keys, "_v")
-        .withColumn("_slice", F.spark_partition_id())
-        .checkpoint()
-    )
-    parts = placed.groupBy(*keys, "_slice").agg(F.sum("_n").alias("_part"))
-    group = Window.partitionBy(*keys)
-    parts = parts.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col("_slice").alias("_s"),
-        F.coalesce(
-            F.sum("_part").over(
-                group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ).alias("_base"),
-        F.sum("_part").over(group).alias("_size"),
-    )
-    inside = (
-        Window.partitionBy(*keys, "_slice")
-        .orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    match = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    ranked = (
-        placed.withColumn("_upto", F.sum("_n").over(inside))
-        .join(parts, [F.col("_slice") == F.col("_s"), *match])
-        .withColumn("_end", F.col("_base") + F.col("_upto"))
-        .withColumn("_start", F.col("_end") - F.col("_n"))
+    cells = F.array(
+        *[
+            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_v"))
+            for c in cols
+        ]
     )
-    aggs, outs = [], []
+    keys = [*by, "column_name"]
+    values = df.select(*by, F.inline(cells)).filter(F.col("_v").isNotNull())
+    freq = values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    ranked = prefix_sums(freq, keys, ["_v"], ["_n"])
+    start, size, v = F.col("_n_before"), F.col("_n_total"), F.col("_v")
+    weighted = F.sum(v.cast("decimal(24,8)") * F.col("_n").cast("decimal(13,0)")).cast("double")
+    aggs = [
+        F.sum("_n").alias("n_values"),
+        (weighted / F.sum("_n")).alias("mean"),
+        F.min("_v").alias("min"),
+        F.max("_v").alias("max"),
+    ]
+    outs = []
     for i, p in enumerate(ps):
-        at = (F.col("_size") - 1) * F.lit(float(p))
-        low, high = F.floor(at), F.ceil(at)
-        for side, rank in (("lo", low), ("hi", high)):
-            holds = (F.col("_start") <= rank) & (rank < F.col("_end"))
-            aggs.append(F.max(F.when(holds, F.col("_v"))).alias(f"_{side}{i}"))
-        aggs.append(F.first(at - low).alias(f"_f{i}"))
+        at = (size - 1) * F.lit(float(p))
+        for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            holds = (start <= rank) & (rank < start + F.col("_n"))
+            aggs.append(F.max(F.when(holds, v)).alias(f"_{side}{i}"))
+        aggs.append(F.max(at - F.floor(at)).alias(f"_f{i}"))
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         outs.append((lo + (hi - lo) * F.col(f"_f{i}")).alias(f"q{i}"))
-    return ranked.groupBy(*keys).agg(*aggs).select(*keys, *outs)
+    found = ranked.groupBy(*keys).agg(*aggs)
+    return found.select(*keys, "n_values", "mean", "min", "max", *outs)
 
 
 def percentiles(
-    df: DataFrame, by: Sequence[str], col: str, named: dict[str, float]
+    df: DataFrame, by: Sequence[str], col: str, named: Mapping[str, float],
+    mean: str | None = None, maximum: str | None = None,
 ) -> DataFrame:
-    """One row per group with the exact percentiles ``{output name: p}`` of ``col``."""
+    """One row per group with the exact percentiles ``{output name: p}`` of ``col``, and its
+    mean and maximum under the given names."""
     found = exact_quantiles(df, by, [col], list(named.values()))
-    return found.select(*by, *[F.col(f"q{i}").alias(n) for i, n in enumerate(named)])
+    more = [F.col(s).alias(n) for s, n in (("mean", mean), ("max", maximum)) if n]
+    return found.select(*by, *[F.col(f"q{i}").alias(n) for i, n in enumerate(named)], *more)
 
 
 def summary_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column_name, n_values, mean, min, p25, p75, max) per column, quartiles exact."""
-    stats = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(f"_n_{c}").alias("n_values"),
-            (F.col(f"_s_{c}").cast("double") / F.nullif(F.col(f"_n_{c}"), F.lit(0))).alias("mean"),
-            F.col(f"_a_{c}").alias("min"),
-            F.col(f"_z_{c}").alias("max"),
-        )
-        for c in cols
-    ]
-    basics = df.agg(
-        *[
-            agg
-            for c in cols
-            for agg in (
-                F.count(c).alias(f"_n_{c}"),
-                F.sum(F.col(c).cast("decimal(28,8)")).alias(f"_s_{c}"),
-                F.min(F.col(c).cast("double")).alias(f"_a_{c}"),
-                F.max(F.col(c).cast("double")).alias(f"_z_{c}"),
-            )
-        ]
-    ).select(F.inline(F.array(*stats)))
-    quartiles = exact_quantiles(df, [], cols, [0.25, 0.75]).select(
-        "column_name", F.col("q0").alias("p25"), F.col("q1").alias("p75")
-    )
-    return basics.join(quartiles, "column_name", "left").select(
-        "column_name", "n_values", "mean", "min", "p25", "p75", "max"
+    found = exact_quantiles(df, [], cols, [0.25, 0.75])
+    return found.select(
+        "column_name", "n_values", "mean", "min",
+        F.col("q0").alias("p25"), F.col("q1").alias("p75"), "max",
     )
 
 
-def median_profile(
-    df: DataFrame, by: str, cols: Sequence[str], digits: int = 3
-) -> DataFrame:
+def median_profile(df: DataFrame, by: str, cols: Sequence[str], digits: int = 3) -> DataFrame:
     """One row per group with the rounded exact median of every column."""
-    from ..functions.expressions import round_to
-
     medians = exact_quantiles(df, [by], cols, [0.5])
     return medians.groupBy(by).agg(
         *[

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import round_to
-from ..session import ensure_checkpoint_dir
+from .prefix import prefix_sums
 
 # Rows a slice may hold when the order key is a dense number (one row per number).
 SLICE_WIDTH = 4096
@@ -90,49 +90,23 @@ def moving_avg(
 def running_sum_scalable(
     df: DataFrame, col: str, order: Sequence[str], name: str, slices: int | None = None
 ) -> DataFrame:
-    """Running total over any total order (numbers, dates, strings, several columns).
-
-    The rows are range-partitioned once and checkpointed, so that the slice of a row is a
-    stored fact and not recomputed; slice totals (one row per slice) carry the sums over.
-    """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = (
-        df.repartitionByRange(n, *order).withColumn("_slice", F.spark_partition_id()).checkpoint()
-    )
-    totals = placed.groupBy("_slice").agg(F.sum(col).alias("_total"))
-    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select("_slice", F.sum("_total").over(earlier).alias("_carry"))
-    inside = (
-        Window.partitionBy("_slice")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    summed = placed.withColumn("_inside", F.sum(col).over(inside)).join(carried, "_slice")
-    total = F.when(
-        F.col("_inside").isNotNull() | F.col("_carry").isNotNull(),
-        F.coalesce(F.col("_inside"), F.lit(0)) + F.coalesce(F.col("_carry"), F.lit(0)),
-    )
-    return summed.withColumn(name, total).drop("_slice", "_inside", "_carry")
+    """Running total over any unique order (numbers, dates, strings, several columns)."""
+    own = F.coalesce(F.col(col), F.lit(0))
+    summed = prefix_sums(df, [], order, [col], slices)
+    return summed.withColumn(name, F.col(f"{col}_before") + own).drop(f"{col}_before", f"{col}_total")
 
 
 def _ranked(df: DataFrame, by: Sequence[str], order: str, name: str, dense: bool) -> DataFrame:
     """Ranks computed per distinct (by, order) pair and joined back.
 
-    A group with very many rows but few distinct order values is counted map-side first, so
-    the window never holds a hot group's raw rows.
+    Pairs are counted map-side first and ranked with :func:`prefix_sums`, so neither a group
+    with very many rows nor one with very many order values is held in one task.
     """
     keys = [*by, order]
-    levels = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*by).orderBy(order)
-    if dense:
-        value = F.dense_rank().over(w)
-    else:
-        before = w.rowsBetween(Window.unboundedPreceding, -1)
-        value = (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).cast("int")
-    ranks = levels.withColumn(name, value).select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], name
+    step = F.lit(1).cast("long") if dense else F.count(F.lit(1))
+    levels = df.groupBy(*keys).agg(step.alias("_n"))
+    ranks = prefix_sums(levels, by, [order], ["_n"]).select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], (F.col("_n_before") + 1).cast("int").alias(name)
     )
     match = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
     return df.join(ranks, match).drop(*[f"_k_{k}" for k in keys])
@@ -149,14 +123,24 @@ def dense_rank_in(df: DataFrame, by: Sequence[str], order: str, name: str = "den
 
 
 def share_of_total(
-    df: DataFrame, by: Sequence[str | Column], measure: Column, name: str, extra: Sequence[Column] = ()
+    df: DataFrame,
+    by: Sequence[str | Column],
+    measure: Column,
+    name: str,
+    extra: Sequence[Column] = (),
+    many_groups: bool = False,
 ) -> DataFrame:
     """Group, aggregate ``measure``, and give each group's percentage of the grand total.
 
-    The total is the sum of the group results as a scalar subquery: no window over all groups.
+    The total is taken over the finished groups (a handful of categories), so the input is
+    read once. With ``many_groups`` it is a scalar subquery over the input instead, and the
+    groups stay distributed.
     """
     grouped = df.groupBy(*by).agg(measure.alias("_measure"), *extra)
-    total = grouped.agg(F.sum("_measure").cast("double").alias("_total")).scalar()
+    if many_groups:
+        total = df.agg(measure.alias("_total")).scalar().cast("double")
+    else:
+        total = F.sum("_measure").over(Window.partitionBy()).cast("double")
     share = F.col("_measure").cast("double") * 100.0 / F.nullif(total, F.lit(0.0))
     return grouped.withColumn(name, round_to(share, 1)).drop("_measure")
 

@@ -116,15 +116,12 @@ def seg_spend_percentiles(segments: DataFrame, c360: DataFrame) -> DataFrame:
     cuts = percentiles(
         fans, ["segment_label"], "revenue_net",
         {"p10_spend": 0.10, "p25_spend": 0.25, "median_spend": 0.50, "p75_spend": 0.75, "p90_spend": 0.90},
+        mean="mean_spend", maximum="max_spend",
     )
     rounded = cuts.select(
         "segment_label", *[round_to(c, 2).alias(c) for c in cuts.columns if c != "segment_label"]
     )
-    extremes = fans.groupBy("segment_label").agg(
-        mean_of(_money("revenue_net"), 2).alias("mean_spend"),
-        round_to(F.max("revenue_net"), 2).alias("max_spend"),
-    )
-    return order_by(extremes.join(rounded, "segment_label", "left"), ["-median_spend"])
+    return order_by(rounded, ["-median_spend"])
 
 
 def seg_attendance(segments: DataFrame, c360: DataFrame) -> DataFrame:
