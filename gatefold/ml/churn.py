@@ -25,6 +25,8 @@ CHURN_FEATURES = [
 
 # Hex digits of the hash that form a bucket: 65536 even buckets per label.
 _BUCKET_DIGITS = 4
+# Up to this many classes the cuts become literals; beyond it they are joined.
+_LITERAL_CLASSES = 100
 
 
 def stratified_split(
@@ -34,7 +36,8 @@ def stratified_split(
 
     The cut is found from hash-bucket counts; only the one bucket per label that holds the
     cut is ranked. Hash values are even, so neither a dominant label nor a large table
-    gathers in one task. ``key`` must be unique.
+    gathers in one task. The cuts, one per class, are then compared as literals: the rows
+    themselves are not shuffled by their few labels. ``key`` must be unique.
     """
     hashed = df.withColumn("_h", F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed)))))
     bucket = F.substring("_h", 1, _BUCKET_DIGITS)
@@ -59,8 +62,15 @@ def stratified_split(
         .filter(F.col("_at") == F.col("_take"))
         .select("_l", F.col("_h").alias("_limit"))
     )
-    marked = hashed.join(limits, same_label, "left")
-    test = F.coalesce(F.col("_h") <= F.col("_limit"), F.lit(False))
+    found = limits.limit(_LITERAL_CLASSES + 1).collect()
+    if len(found) > _LITERAL_CLASSES:
+        marked = hashed.join(limits, same_label, "left")
+        limit = F.col("_limit")
+    else:
+        marked, limit = hashed, F.lit(None).cast("string")
+        for row in found:
+            limit = F.when(F.col(label).eqNullSafe(F.lit(row["_l"])), F.lit(row["_limit"])).otherwise(limit)
+    test = F.coalesce(F.col("_h") <= limit, F.lit(False))
     return marked.withColumn(name, test).drop("_h", "_l", "_limit")
 
 

@@ -149,17 +149,18 @@ def segment_scores(
     names: Mapping[int, str] | None = None, key: str = "customer_id",
     version: str = "kmeans_k5_v1", model_name: str = "kmeans_fan_segmentation",
 ) -> DataFrame:
-    """Segment table: one row per customer with cluster, name and distance."""
+    """Segment table: one row per customer with cluster, name and distance.
+
+    The k names are looked up as literals, so customers are not shuffled by cluster.
+    """
     keep = [key, *cols, "churn_flag"]
     scored = PipelineModel(model.stages[:-1]).transform(_filled(features.select(*keep), cols))
     near = assign(scored, centers_of(model), vector_to_array("_scaled"))
-    named = near
     if names is None:
         profile = median_profile(near, "segment_id", [*cols, "churn_flag"])
-        labels = label_segments(profile).select("segment_id", "segment_label")
-        named = near.join(labels, "segment_id", "left")
-    else:
-        named = label_segments(near, names)
+        named_clusters = label_segments(profile).select("segment_id", "segment_label").collect()
+        names = {r.segment_id: r.segment_label for r in named_clusters}
+    named = label_segments(near, names)
     return named.select(
         key,
         "segment_id",

@@ -19,15 +19,16 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), jpath
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Finished versions only: Spark writes ``_SUCCESS`` after the last task has committed."""
+def _versions(spark: SparkSession, path: str, published: bool = True) -> list[int]:
+    """Version numbers; the marker is set after the last task has committed."""
     fs, jpath = _fs(spark, path)
     if not fs.exists(jpath):
         return []
     found = []
     for status in fs.listStatus(jpath):
         hit = re.fullmatch(r"v(\d+)", status.getPath().getName())
-        if hit and fs.exists(_fs(spark, f"{path}/{hit.group(0)}/_SUCCESS")[1]):
+        marker = f"{status.getPath().toString()}/_SUCCESS"
+        if hit and (not published or fs.exists(_fs(spark, marker)[1])):
             found.append(int(hit.group(1)))
     return sorted(found)
 
@@ -45,6 +46,41 @@ def read_layer(spark: SparkSession, base: str, layer: str, name: str) -> DataFra
     return spark.read.parquet(table_path(spark, base, layer, name))
 
 
+def _publish(spark: SparkSession, target: str) -> None:
+    """Mark a version as finished; from now on readers see it."""
+    fs, marker = _fs(spark, f"{target}/_SUCCESS")
+    fs.create(marker, True).close()
+
+
+def _write_version(
+    df: DataFrame, target: str, label: str, bucket_by: str | None, buckets: int | None
+) -> DataFrame:
+    """Write an unpublished version (no success marker) and read it back."""
+    spark = df.sparkSession
+    unmarked = ("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    if bucket_by is None:
+        df.write.mode("overwrite").option(*unmarked).parquet(target)
+        return spark.read.parquet(target)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{label}_{uuid.uuid4().hex[:12]}"
+    (
+        df.repartition(n, bucket_by)
+        .write.mode("overwrite")
+        .format("parquet")
+        .bucketBy(n, bucket_by)
+        .sortBy(bucket_by)
+        .option(*unmarked)
+        .option("path", target)
+        .saveAsTable(table)
+    )
+    return spark.table(table)
+
+
+def _next_version(spark: SparkSession, path: str) -> str:
+    taken = _versions(spark, path, published=False)
+    return f"{path}/v{(taken[-1] + 1) if taken else 1}"
+
+
 def write_layer(
     df: DataFrame,
     base: str,
@@ -64,29 +100,16 @@ def write_layer(
     """
     spark = df.sparkSession
     path = layer_path(base, layer, name)
-    versions = _versions(spark, path)
-    if mode == "append" and versions:
-        target = f"{path}/v{versions[-1]}"
-        df.write.mode("append").parquet(target)
-        return spark.read.parquet(target)
     if mode not in ("overwrite", "append"):
         raise ValueError(f"unknown mode {mode!r}")
-    target = f"{path}/v{(versions[-1] + 1) if versions else 1}"
-    if bucket_by is None:
-        df.write.mode("overwrite").parquet(target)
+    if mode == "append" and _versions(spark, path):
+        target = table_path(spark, base, layer, name)
+        df.write.mode("append").parquet(target)
         return spark.read.parquet(target)
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = f"{layer}_{name}_{uuid.uuid4().hex[:12]}"
-    (
-        df.repartition(n, bucket_by)
-        .write.mode("overwrite")
-        .format("parquet")
-        .bucketBy(n, bucket_by)
-        .sortBy(bucket_by)
-        .option("path", target)
-        .saveAsTable(table)
-    )
-    return spark.table(table)
+    target = _next_version(spark, path)
+    written = _write_version(df, target, f"{layer}_{name}", bucket_by, buckets)
+    _publish(spark, target)
+    return written
 
 
 class KeyViolation(ValueError):
@@ -103,17 +126,24 @@ def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def write_keyed(
-    df: DataFrame, base: str, layer: str, name: str, keys: Sequence[str], **options
+    df: DataFrame,
+    base: str,
+    layer: str,
+    name: str,
+    keys: Sequence[str],
+    bucket_by: str | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Create or overwrite a table with a primary-key contract.
 
-    The version is written first and checked as stored; a violation leaves the previous
-    version current for readers of :func:`read_layer` by dropping the new one's marker.
+    The new version is written, checked as stored, and only then published; on a violation
+    readers keep the previous version.
     """
-    written = write_layer(df, base, layer, name, mode="overwrite", **options)
+    spark = df.sparkSession
+    target = _next_version(spark, layer_path(base, layer, name))
+    written = _write_version(df, target, f"{layer}_{name}", bucket_by, buckets)
     bad = key_violations(written, keys).limit(3).collect()
     if bad:
-        fs, marker = _fs(df.sparkSession, f"{table_path(df.sparkSession, base, layer, name)}/_SUCCESS")
-        fs.delete(marker, False)
         raise KeyViolation(f"{layer}.{name}: NULL or repeated key, for example {bad}")
+    _publish(spark, target)
     return written
