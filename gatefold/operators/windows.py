@@ -72,14 +72,14 @@ def moving_avg(
     """Mean of the current and ``n - 1`` preceding rows by a unique numeric ``order`` key.
 
     Rows get their exact position from :func:`running_sum`, are cut into slices of ``width``
-    positions, and each slice borrows the last ``n - 1`` rows of the one before.
+    positions, and each slice borrows the ``n - 1`` rows before its first.
     """
     placed = running_sum(df, F.lit(1).cast("long"), order, "_pos", width=width)
     placed = placed.withColumn("_pos", F.col("_pos") - 1)
     home = F.floor(F.col("_pos") / F.lit(width))
     borrowed = F.floor((F.col("_pos") + F.lit(n - 1)) / F.lit(width))
     spread = placed.withColumn("_home", home).withColumn(
-        "_slice", F.explode(F.array_distinct(F.array(home, borrowed)))
+        "_slice", F.explode(F.sequence(home, borrowed))
     )
     frame = Window.partitionBy("_slice").orderBy("_pos").rowsBetween(-(n - 1), 0)
     mean = F.avg(F.col(col)).over(frame)

@@ -16,11 +16,12 @@ from ..functions import (
     pct,
     round_to,
 )
+from ..operators.grouping import distinct_count_by
 from ..operators.joins import left_join_then_profile, star_join
 from ..operators.ordering import order_by, project_after, top_k
 from ..operators.quality import checks_from, null_counts, scorecard
 from ..operators.quantiles import summary_stats
-from ..operators.sets import compare_scalars, table_counts
+from ..operators.sets import table_counts
 from ..operators.windows import share_of_total
 
 KEY = "customer_id"
@@ -99,31 +100,33 @@ def val_bronze_checks(
 def val_phase_profile(fact: DataFrame, events: DataFrame) -> DataFrame:
     """Season story per phase, in season order; tickets without a known event are left out.
 
-    Tickets are first reduced to one row per event, phase and buyer, and only those meet the
-    events and the distinct counts.
+    Tickets are first reduced to one row per event and phase, and only those meet the events.
+    Buyers are counted apart, from distinct (phase, customer) pairs.
     """
-    buyers = fact.groupBy("game_id", "season_phase", KEY).agg(
+    by_event = fact.groupBy("game_id", "season_phase").agg(
         n_rows().alias("tickets"),
         F.sum(_money("ticket_price")).alias("revenue"),
         F.count("ticket_price").alias("priced"),
         count_where("is_promo_ticket").alias("promo"),
     )
-    known = buyers.join(events.select("game_id", "game_number", "arena_fill_pct"), "game_id")
+    known = by_event.join(events.select("game_id", "game_number", "arena_fill_pct"), "game_id")
     tickets = F.sum("tickets")
-    fill = F.sum(F.col("arena_fill_pct").cast("decimal(28,8)") * F.col("tickets"))
-    return project_after(
-        known.groupBy("season_phase").agg(
-            F.count_distinct("game_id").alias("games"),
-            tickets.alias("total_tickets"),
-            round_to(F.sum("revenue").cast("double") / F.sum("priced"), 2).alias("avg_ticket_price"),
-            round_to(F.sum("promo") * F.lit(100.0) / tickets, 1).alias("promo_rate_pct"),
-            F.count_distinct(KEY).alias("unique_buyers"),
-            round_to(F.sum("revenue"), 2).alias("total_revenue"),
-            round_to(fill.cast("double") / tickets * 100, 1).alias("avg_fill_pct"),
-            F.min("game_number").alias("_first"),
-        ),
-        "_first",
+    fill = F.sum(F.col("arena_fill_pct").cast("decimal(12,8)") * F.col("tickets").cast("decimal(20,0)"))
+    story = known.groupBy("season_phase").agg(
+        F.count_distinct("game_id").alias("games"),
+        tickets.alias("total_tickets"),
+        round_to(F.sum("revenue").cast("double") / F.nullif(F.sum("priced"), F.lit(0)), 2).alias("avg_ticket_price"),
+        round_to(F.sum("promo") * F.lit(100.0) / tickets, 1).alias("promo_rate_pct"),
+        round_to(F.sum("revenue"), 2).alias("total_revenue"),
+        round_to(fill.cast("double") / tickets * 100, 1).alias("avg_fill_pct"),
+        F.min("game_number").alias("_first"),
     )
+    seen = fact.select("game_id", "season_phase", KEY).join(events.select("game_id"), "game_id")
+    buyers = distinct_count_by(seen, "season_phase", KEY, "unique_buyers").withColumnRenamed(
+        "season_phase", "_phase"
+    )
+    joined = story.join(buyers, F.col("season_phase").eqNullSafe(F.col("_phase"))).drop("_phase")
+    return project_after(joined, "_first")
 
 
 def val_event_snapshot(
@@ -396,16 +399,13 @@ def val_ml_scorecard(
     """Five ordered verdicts over the model tables."""
     joined = scores.select(KEY, "churn_probability").join(segments.select(KEY, "segment_label"), KEY)
 
-    def mean_in(label: str) -> tuple[DataFrame, Column]:
-        return joined.filter(F.col("segment_label") == label), F.avg("churn_probability")
+    def mean_in(label: str) -> Column:
+        return F.avg(F.when(F.col("segment_label") == label, F.col("churn_probability")))
 
-    higher = compare_scalars(mean_in(riskiest), mean_in(safest), ">")
-    order = F.when(higher, F.lit(PASS)).otherwise(F.lit(f"{FAIL} - model may need review"))
-    story = scores.agg(F.lit(4).alias("sort_order")).select(
-        "sort_order",
-        F.lit(f"{riskiest} segment has highest avg churn probability").alias("check_name"),
-        order.alias("result"),
-    )
+    story = checks_from(joined, [
+        (4, f"{riskiest} segment has highest avg churn probability",
+         mean_in(riskiest) > mean_in(safest), PASS, f"{FAIL} - model may need review"),
+    ])
     labels = F.count_distinct("segment_label") == 5
     parts = [
         checks_from(features, [(1, "fan_features table exists", n_rows() > 0, PASS, FAIL)]),

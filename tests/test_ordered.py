@@ -48,6 +48,14 @@ def test_running_sum_and_moving_average(spark, values, width):
         assert means[n] == (pytest.approx(sum(last) / len(last)) if last else None)
 
 
+def test_moving_average_with_slices_shorter_than_the_frame(spark):
+    df = spark.createDataFrame([(i, i * i) for i in range(7)], "n int, v int").repartition(3)
+    got = {r.n: r.m for r in w.moving_avg(df, "v", "n", "m", 4, width=1).collect()}
+    for i in range(7):
+        frame = [x * x for x in range(max(0, i - 3), i + 1)]
+        assert got[i] == pytest.approx(sum(frame) / len(frame))
+
+
 def test_running_sum_within_groups_including_null_group(spark):
     rows = [("a", 1, 1), ("a", 5, 2), (None, 1, 10), (None, 9, 20), ("b", 3, 5)]
     df = spark.createDataFrame(rows, "k string, n int, v int")

@@ -50,6 +50,17 @@ def test_keyed_write_keeps_the_previous_version_on_violation(spark, tmp_path):
     assert read_layer(spark, base, "gold", "f").count() == 1
 
 
+def test_bucketed_keyed_table_recovers_after_a_violation(spark, tmp_path):
+    base = str(tmp_path)
+    twice = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
+    with pytest.raises(KeyViolation):
+        write_keyed(twice, base, "gold", "b", ["k"], bucket_by="k")
+    with pytest.raises(FileNotFoundError):
+        read_layer(spark, base, "gold", "b")
+    stored = write_keyed(twice.limit(1), base, "gold", "b", ["k"], bucket_by="k", buckets=2)
+    assert stored.count() == read_layer(spark, base, "gold", "b").count() == 1
+
+
 def test_json_is_ingested_once_with_lineage_and_nulls_for_bad_values(spark, tmp_path):
     landing = tmp_path / "landing"
     out, check = str(tmp_path / "out"), str(tmp_path / "check")
