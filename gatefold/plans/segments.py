@@ -50,7 +50,8 @@ CAMPAIGNS = {
 }
 CAMPAIGN_DEFAULT = ("3 — Monitor", "Email", "Standard offer", "Maintain")
 
-# Model card.
+# Model card. AUC and accuracy are constants of the report, not measured here;
+# pass a card with the numbers of `ml.metrics` for a fitted model.
 MODEL_CARD = {
     "segmentation_model": "K-Means Fan Segmentation",
     "segmentation_registry": "gold.kmeans_fan_segmentation",
