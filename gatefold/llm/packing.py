@@ -8,6 +8,7 @@ The cut needs no other document: packing is a narrow map over the scan without a
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,7 +19,7 @@ from .common import picked
 
 END_ID = 2
 MAX_LEN = 4096
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 1_000_000
 
 PIECES = (
     "doc_id long, start long, length long, doc_tokens long, bucket int, tokens binary"
@@ -26,12 +27,15 @@ PIECES = (
 
 
 class WordTokens(dict):
-    """Little-endian ids of one white-space separated word, filled in batches.
+    """Little-endian ids of white-space separated words, each encoded once per worker process.
 
     Right for tokenizers that drop white space and never merge across it: the ids of a text are
-    then the ids of its words, and each distinct word is encoded once per worker.
+    then the ids of its words. Words are looked up with A-Z lowered, as the tokenizer does itself;
+    texts that might hold its special strings are looked up as they are.
     """
 
+    _of_process: dict[str, WordTokens] = {}
+
     def __init__(self, path: str):
         import os
 
@@ -41,18 +45,32 @@ class WordTokens(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
 
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > _CACHE_WORDS:
-            self.clear()
-            new = list(words)
-        for at in range(0, len(new), 2000):
-            part = new[at : at + 2000]
-            encoded = self.tokenizer.encode_batch(
+    @classmethod
+    def of(cls, path: str) -> WordTokens:
+        """The table of this worker process, kept between its tasks."""
+        if path not in cls._of_process:
+            cls._of_process[path] = cls(path)
+        return cls._of_process[path]
+
+    def ids(self, text: bytes) -> bytes:
+        """Ids of a text, four bytes each."""
+        words = (text if b"<|" in text else text.lower()).split()
+        new = set(words).difference(self.keys())
+        if new:
+            if len(self) + len(new) > _CACHE_WORDS:
+                self.clear()
+                new = set(words)
+            self._learn(list(new))
+        return b"".join(map(self.__getitem__, words))
+
+    def _learn(self, words: list[bytes]) -> None:
+        for at in range(0, len(words), 2000):
+            part = words[at : at + 2000]
+            encoded = self.tokenizer.encode_batch_fast(
                 [w.decode("utf-8", "replace") for w in part], add_special_tokens=False
             )
             for word, e in zip(part, encoded, strict=True):
-                self[word] = b"".join(i.to_bytes(4, "little") for i in e.ids)
+                self[word] = array("I", e.ids).tobytes()
 
 
 def binary_cuts(n: int, max_len: int = MAX_LEN) -> Iterator[tuple[int, int]]:
@@ -89,7 +107,7 @@ def pack(
     end = end_id.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordTokens(tokenizer_path)
+        known = WordTokens.of(tokenizer_path)
         names = ["doc_id", "start", "length", "doc_tokens", "bucket", "tokens"]
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
         out: list[list] = [[] for _ in names]
@@ -107,9 +125,7 @@ def pack(
             ids = batch.column(0).to_pylist()
             texts = batch.column(1).cast(pa.binary())
             for at, key in enumerate(ids):
-                words = (texts[at].as_py() or b"").split()
-                known.learn(known_missing(words, known))
-                data = b"".join(map(known.__getitem__, words)) + end
+                data = known.ids(texts[at].as_py() or b"") + end
                 total = len(data) // 4
                 for start, length in binary_cuts(total, max_len):
                     piece = data[4 * start : 4 * (start + length)]
@@ -127,6 +143,3 @@ def pack(
         {"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")}
     )
 
-
-def known_missing(words: list[bytes], known: dict) -> set[bytes]:
-    return {w for w in words if w not in known}
