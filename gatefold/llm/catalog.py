@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, host_rules, packing, sketch
+from . import chat, host_rules, html_extract, minmax, packing, sketch, toxicity
 
 PACK_TOKENIZER = "word_bpe_49k.json"
 CHAT_TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -18,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by the consensus path of its host."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Power-of-two pieces of every document."""
     path = public_tokenizers.path(PACK_TOKENIZER)
@@ -52,6 +57,11 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_turns(rows.unionByName(extra), path), path)
 
 
+def op8_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components at a likeness of 0.85."""
+    return minmax.near_duplicates(table(spark, sf_dir, "documents"), numerator=85)
+
+
 def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and the verdict of every document, its source as host."""
     judged = host_rules.judge(table(spark, sf_dir, "documents"))
@@ -63,9 +73,19 @@ def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document under a classifier fitted to the training folds."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op4_packing, op6_fingerprints, op7_chat_formatting, op9_host_rules)
+    for f in (
+        op1_html_extraction, op4_packing, op6_fingerprints, op7_chat_formatting,
+        op8_minmax_near_dedup, op9_host_rules, op10_toxicity,
+    )
 }
 
 ORACLE: dict[str, str] = {}

@@ -28,8 +28,12 @@ from .common import picked, stored_copy, utf8
 MAX_POSITIVES = 20_000
 MAX_UNLABELLED = 40_000
 MAX_FEATURES = 8192
-MIN_POSITIVES = 4  # training positives that must hold a feature
-MIN_LIFT = 2.0  # times the share among unlabelled rows
+MIN_POSITIVES = 3  # training positives that must hold a feature
+# A feature that only toxic texts hold has a lift of 1 / prior over the unlabelled rows, as these
+# hold that share of toxic texts themselves; this part of it is asked for.
+MIN_LIFT_SHARE = 0.3
+# Least surprise (nats) of a feature's count among positives, given its share elsewhere.
+MIN_SURPRISE = 9.0
 STEM_LENGTHS = (4, 5, 6, 7, 8)
 FOLDS = 5
 _TOKEN = re.compile(r"\w+")
@@ -66,7 +70,7 @@ def nnpu_fit(
     prior: float,
     steps: int = 300,
     rate: float = 0.05,
-    decay: float = 1e-4,
+    decay: float = 1e-3,
     slack: float = 0.0,
     back: float = 1.0,
 ) -> tuple[np.ndarray, float]:
@@ -120,9 +124,9 @@ def training_rows(
         named.where("toxic = 1").select("doc_id"), max_positives / max(1, n.toxic)
     ).select("doc_id", F.lit(True).alias("positive"))
     rows = docs.where(F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 0))
-    others = rows.count() - n.toxic
-    toxic_ids = named.where("toxic = 1").select("doc_id")
-    unlabelled = _sampled(rows, max_unlabelled / max(1, others)).join(toxic_ids, "doc_id", "left_anti")
+    # The risk estimator needs unlabelled rows that hold toxic texts at the rate of the prior:
+    # all training documents, their labels unseen.
+    unlabelled = _sampled(rows, max_unlabelled / max(1, rows.count()))
     sample = rows.join(positives, "doc_id").unionByName(
         unlabelled.withColumn("positive", F.lit(False))
     )
@@ -205,14 +209,17 @@ def fit(
     n_p, n_u = sizes.get(True, 0), sizes.get(False, 0)
     if not n_p or not n_u:
         return Model({}, -4.0, prior)
-    lift = (F.col("p") / n_p) / ((F.col("u") + 1.0) / n_u)
+    expected = F.lit(float(n_p)) * (F.col("u") + 0.5) / (n_u + 1.0)
+    surprise = F.col("p") * F.log(F.col("p") / F.col("expected")) - (F.col("p") - F.col("expected"))
     # The most telling features: a bounded list by construction.
     best = (
-        counts.withColumn("lift", lift)
-        .where(F.col("lift") >= MIN_LIFT)
-        .withColumn("gain", F.col("p") * F.log("lift"))
-        .orderBy(F.desc("gain"), "feature")
+        counts.withColumn("expected", expected)
+        .where(F.col("p") * prior >= MIN_LIFT_SHARE * F.col("expected"))
+        .withColumn("surprise", surprise)
+        .where(F.col("surprise") >= MIN_SURPRISE)
+        .orderBy(F.desc("surprise"), "feature")
         .limit(max_features)
+        .select("feature")
         .collect()
     )
     index = {r.feature: i for i, r in enumerate(best)}
