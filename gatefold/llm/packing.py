@@ -55,7 +55,7 @@ class WordTokens(dict):
     def ids(self, text: bytes) -> bytes:
         """Ids of a text, four bytes each."""
         words = (text if b"<|" in text else text.lower()).split()
-        new = set(words).difference(self.keys())
+        new = {w for w in set(words) if w not in self}
         if new:
             if len(self) + len(new) > _CACHE_WORDS:
                 self.clear()
