@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, host_rules, html_extract, minmax, packing, sketch, toxicity
+from . import chat, host_rules, html_extract, minmax, ngram_trie, packing, sketch, toxicity
 
 PACK_TOKENIZER = "word_bpe_49k.json"
 CHAT_TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -32,6 +32,16 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under a trie of the training folds' n-grams."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ngram_trie.fit(docs.where(ngram_trie.fold(F.col("doc_id")) != 0))
+    return ngram_trie.score(docs, model).select(
+        "doc_id", (ngram_trie.fold(F.col("doc_id")) == 0).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score",
+    )
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bottom-k fingerprints of every document and its edited text."""
     made = sketch.edited_fingerprints(table(spark, sf_dir, "documents"))
@@ -83,7 +93,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_html_extraction, op4_packing, op6_fingerprints, op7_chat_formatting,
+        op1_html_extraction, op4_packing, op5_ngram_trie, op6_fingerprints, op7_chat_formatting,
         op8_minmax_near_dedup, op9_host_rules, op10_toxicity,
     )
 }
