@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, host_rules, html_extract, minmax, ngram_trie, packing, sketch, toxicity
+from . import (
+    chat,
+    host_rules,
+    html_extract,
+    line_dedup,
+    minmax,
+    mixing,
+    ngram_trie,
+    packing,
+    sketch,
+    toxicity,
+)
+from .oracle import ORACLE
 
 PACK_TOKENIZER = "word_bpe_49k.json"
 CHAT_TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -23,6 +35,17 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks of documents per source, no source repeated more than twice."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).select("doc_id", "source", "block", "block_rank")
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every line of every document."""
+    return line_dedup.line_verdicts(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Power-of-two pieces of every document."""
     path = public_tokenizers.path(PACK_TOKENIZER)
@@ -78,7 +101,7 @@ def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept",
-        *[F.round(f"host_rate_{r}", 9).alias(f"host_rate_{r}") for r in host_rules.RULES],
+        *[F.round(f"host_rate_{r}", 6).alias(f"host_rate_{r}") for r in host_rules.RULES],
         "host_failed",
     )
 
@@ -93,14 +116,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_html_extraction, op4_packing, op5_ngram_trie, op6_fingerprints, op7_chat_formatting,
+        op1_html_extraction, op2_mixing, op3_line_dedup, op4_packing, op5_ngram_trie, op6_fingerprints, op7_chat_formatting,
         op8_minmax_near_dedup, op9_host_rules, op10_toxicity,
     )
 }
 
-ORACLE: dict[str, str] = {}
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

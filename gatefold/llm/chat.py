@@ -38,7 +38,7 @@ TURN = (
 )
 DIGEST = (
     "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
-    "formatted_chars long, n_tokens long"
+    "formatted_chars long"
 )
 
 
@@ -171,14 +171,12 @@ def conversation_digests(formatted: DataFrame, tokenizer_path: str) -> DataFrame
         current, done = None, []
 
         def row():
-            key, n, turns, chars, loss, formatted_chars, tokens = current
-            return key, n, turns.hexdigest(), chars, loss.hexdigest(), formatted_chars, tokens
+            key, n, turns, chars, loss, formatted_chars = current
+            return key, n, turns.hexdigest(), chars, loss.hexdigest(), formatted_chars
 
         def table(rows):
             names = [f.split()[0] for f in DIGEST.split(", ")]
-            types = [
-                pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()
-            ]
+            types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
             return pa.RecordBatch.from_arrays(
                 [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=names
             )
@@ -190,7 +188,7 @@ def conversation_digests(formatted: DataFrame, tokenizer_path: str) -> DataFrame
                 if current is None or current[0] != key:
                     if current is not None:
                         done.append(row())
-                    current = [key, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
+                    current = [key, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
                 ids = columns["input_ids"][i].values.to_numpy(zero_copy_only=False)
                 mask = columns["loss_mask"][i].values.to_numpy(zero_copy_only=False)
                 for role, text, seen in read_back(codec, ids, mask):
@@ -199,7 +197,6 @@ def conversation_digests(formatted: DataFrame, tokenizer_path: str) -> DataFrame
                     current[3] += len(seen)
                     current[4].update(seen.encode())
                 current[5] += len(columns["rendered"][i].as_py())
-                current[6] += len(ids)
                 if len(done) >= 4096:
                     yield table(done)
                     done = []

@@ -202,12 +202,11 @@ def near_duplicates(
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, n_links, kept``, one row per input row.
+    """``doc_id, n_shingles, component_id, kept``, one row per input row.
 
     Two documents are linked if ``denominator * |intersection| >= numerator * |union|`` of their
     distinct shingles (5 words, A-Z lowered; a shorter text is one shingle). ``component_id`` is the
-    smallest id reachable over links, ``kept`` marks that document, ``n_links`` counts the confirmed
-    links of the row's set that the search needed to look at. Null, empty and blank texts have no
+    smallest id reachable over links, ``kept`` marks that document. Null, empty and blank texts have no
     shingles and link to nothing. Rows with the same id are one document. A row without id is its
     own: null component, kept. Other input columns are ignored. Ties do not arise: ids order
     everything.
@@ -291,17 +290,9 @@ def near_duplicates(
             "minmax-links",
         )
         labels = connected_components(links, "a", "b")
-    degree = (
-        links.select(F.explode(F.array("a", "b")).alias("linked")).groupBy("linked").agg(
-            F.count(F.lit(1)).alias("n_links")
-        )
-    )
-    named = sets.join(labels, F.col("rep") == F.col("node"), "left").join(
-        degree, F.col("rep") == F.col("linked"), "left"
-    ).select(
+    named = sets.join(labels, F.col("rep") == F.col("node"), "left").select(
         F.col("set_hi").alias("of_hi"), F.col("set_lo").alias("of_lo"),
         F.coalesce("component", "rep").alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
     placed = signed.select("doc_id", "n_shingles", "set_hi", "set_lo").join(
         named,
@@ -312,5 +303,4 @@ def near_duplicates(
     return placed.select(
         "doc_id", "n_shingles",
         F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     ).withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))

@@ -232,6 +232,23 @@ def fit(
     return Model({f: float(w[i]) for f, i in index.items()}, bias, prior)
 
 
+def _scores(texts: pa.Array, weights: dict[str, float], bias: float, known: dict) -> np.ndarray:
+    """Scores of a batch of texts; ``known`` keeps the weighted features of words seen before."""
+    made = np.empty(len(texts))
+    for i, text in enumerate(texts):
+        found: set[str] = set()
+        for word in set(_TOKEN.findall(utf8(text.as_py()).lower())):
+            hits = known.get(word)
+            if hits is None:
+                if len(known) >= _CACHE_WORDS:
+                    known.clear()
+                hits = known[word] = tuple(f for f in word_features(word) if f in weights)
+            if hits:
+                found.update(hits)
+        made[i] = bias + sum(weights[f] for f in sorted(found))
+    return 1 / (1 + np.exp(-np.clip(made, -500, 500)))
+
+
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row.
 
@@ -243,22 +260,9 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[str, ...]] = {}
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
-            made = np.empty(len(texts))
-            for i in range(len(texts)):
-                found: set[str] = set()
-                for word in set(_TOKEN.findall(utf8(texts[i].as_py()).lower())):
-                    hits = known.get(word)
-                    if hits is None:
-                        if len(known) >= _CACHE_WORDS:
-                            known.clear()
-                        hits = known[word] = tuple(f for f in word_features(word) if f in weights)
-                    if hits:
-                        found.update(hits)
-                made[i] = bias + sum(weights[f] for f in sorted(found))
+            made = _scores(batch.column(1).cast(pa.binary()), weights, bias, known)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(made, -500, 500))))],
-                names=["doc_id", "score"],
+                [batch.column(0), pa.array(made)], names=["doc_id", "score"]
             )
 
     scored = picked(docs, doc_id=doc_id, text=text).mapInArrow(run, "doc_id long, score double")
@@ -266,3 +270,16 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
         "doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+def without_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows, all columns as they are, that score below one half."""
+    weights, bias, place = dict(model.weights), model.bias, docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, tuple[str, ...]] = {}
+        for batch in batches:
+            made = _scores(batch.column(place).cast(pa.binary()), weights, bias, known)
+            yield batch.filter(pa.array(made < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
