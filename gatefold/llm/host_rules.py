@@ -112,6 +112,14 @@ def measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host:
     )
 
 
+def _beta_prior(mean: float | None, variance: float | None) -> tuple[float, float]:
+    """Prior failures and prior documents of a beta distribution with these moments."""
+    mean, variance = mean or 0.0, variance or 0.0
+    fits = 0 < variance < mean * (1 - mean)
+    strength = mean * (1 - mean) / variance - 1 if fits else FLAT_STRENGTH
+    return strength * mean, strength
+
+
 def host_verdicts(measured: DataFrame) -> DataFrame:
     """``host, host_docs, host_rate_<rule>.., host_failed``: shrunk failure rates per host.
 
@@ -124,26 +132,16 @@ def host_verdicts(measured: DataFrame) -> DataFrame:
         *[F.sum(f"failed_{r}").alias(f"fails_{r}") for r in RULES],
     )
     rate = {r: F.col(f"fails_{r}") / F.col("host_docs") for r in RULES}
-    prior = hosts.agg(
+    found = hosts.agg(
         *[F.avg(rate[r]).alias(f"mean_{r}") for r in RULES],
         *[F.var_pop(rate[r]).alias(f"var_{r}") for r in RULES],
-    )
-    strength = {
-        r: F.when(
-            (F.col(f"var_{r}") > 0)
-            & (F.col(f"mean_{r}") * (1 - F.col(f"mean_{r}")) > F.col(f"var_{r}")),
-            F.col(f"mean_{r}") * (1 - F.col(f"mean_{r}")) / F.nullif(F.col(f"var_{r}"), F.lit(0.0)) - 1,
-        ).otherwise(F.lit(FLAT_STRENGTH))
-        for r in RULES
-    }
-    # one row, joined on a constant
-    fitted = hosts.join(prior, F.lit(True))
+    ).first()
+    prior = {r: _beta_prior(found[f"mean_{r}"], found[f"var_{r}"]) for r in RULES}
     shrunk = {
-        f"host_rate_{r}": (F.col(f"fails_{r}") + strength[r] * F.col(f"mean_{r}"))
-        / (F.col("host_docs") + strength[r])
+        f"host_rate_{r}": (F.col(f"fails_{r}") + F.lit(prior[r][0])) / (F.col("host_docs") + F.lit(prior[r][1]))
         for r in RULES
     }
-    judged = fitted.select("host", "host_docs", *[c.alias(n) for n, c in shrunk.items()])
+    judged = hosts.select("host", "host_docs", *[c.alias(n) for n, c in shrunk.items()])
     worst = F.greatest(*[F.col(n) for n in shrunk])
     return judged.withColumn("host_failed", worst > HOST_LIMIT)
 
