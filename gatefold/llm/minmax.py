@@ -9,6 +9,7 @@ only members that stay in different components after that are compared among the
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,19 +21,20 @@ from .common import picked, stored_copy
 from .components import connected_components
 
 WIDTH = 5
-PERMUTATIONS = 144
+PERMUTATIONS = 216
 BAND_ROWS = 6
+BANDS = 48
 SKETCH_BITS = 256
-# Bits of the sketch that may differ for a pair to be confirmed: at likeness 0.8 a bit differs with
-# probability 0.1, so 26 of 256 are expected; 72 is more than nine standard deviations above.
-MAX_DIFFERENT_BITS = 72
+# A pair is confirmed unless its sketches differ in so many places that a pair at the border would
+# do so with a probability of about one in a million: this many standard deviations above the mean.
+SURE = 5.0
 HUB_ROUNDS = 2
 _WORD_CACHE = 400_000
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 SIGNED = (
     "doc_id long, n_shingles long, set_hi long, set_lo long, "
-    "bits_0 long, bits_1 long, bits_2 long, bits_3 long, bands array<long>"
+    "bits_0 long, bits_1 long, bits_2 long, bits_3 long, bands array<long>, places array<long>"
 )
 
 
@@ -86,7 +88,7 @@ class Signer:
         return np.stack([low, high], axis=1).ravel()
 
     def bands(self, signature: np.ndarray) -> np.ndarray:
-        rows = signature.reshape(-1, self.band_rows)
+        rows = signature[: BANDS * self.band_rows].reshape(-1, self.band_rows)
         keys = (rows * self.powers).sum(axis=1, dtype=np.uint64)
         return _mix(keys + np.arange(len(rows), dtype=np.uint64) * _M1).view(np.int64)
 
@@ -94,6 +96,10 @@ class Signer:
         one = (_mix(signature[:SKETCH_BITS]) >> np.uint64(63)).astype(np.uint8)
         return np.packbits(one).view(np.int64)
 
+    def places(self, signature: np.ndarray) -> np.ndarray:
+        """One byte per signature value, eight to a number."""
+        return (_mix(signature) >> np.uint64(56)).astype(np.uint8).view(np.int64)
+
 
 def signatures(
     docs: DataFrame,
@@ -113,22 +119,24 @@ def signatures(
             texts = batch.column(1).cast(pa.binary())
             sizes = np.zeros(len(texts), dtype=np.int64)
             fixed = np.zeros((len(texts), 6), dtype=np.int64)
-            bands = []
+            bands, places = [], []
             for i in range(len(texts)):
                 shingles = shingle_set(texts[i].as_py() or b"", known, width)
                 sizes[i] = len(shingles)
                 if not len(shingles):
                     bands.append([])
+                    places.append([])
                     continue
                 digest = xxhash.xxh3_128_digest(shingles.tobytes())
                 signature = signer.sign(shingles)
                 fixed[i, :2] = np.frombuffer(digest, dtype=np.int64)
                 fixed[i, 2:] = signer.bits(signature)
                 bands.append(signer.bands(signature))
+                places.append(signer.places(signature))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), pa.array(sizes), *[pa.array(fixed[:, k]) for k in range(6)],
-                    pa.array(bands, pa.list_(pa.int64())),
+                    pa.array(bands, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int64())),
                 ],
                 names=[part.split()[0] for part in SIGNED.split(", ")],
             )
@@ -136,14 +144,37 @@ def signatures(
     return picked(docs, doc_id=doc_id, text=text).mapInArrow(sign, SIGNED)
 
 
-def _alike(numerator: int, denominator: int) -> Column:
-    """Can the pair (columns a_*, b_*) reach the likeness, by set sizes and bit sketches?"""
+def _most(places: int, differs: float) -> int:
+    """Places in which two sketches of a pair at the border may differ."""
+    return math.ceil(places * differs + SURE * math.sqrt(places * differs * (1 - differs)))
+
+
+def _alike(numerator: int, denominator: int, permutations: int, once: Column | None = None) -> Column:
+    """Can the pair (columns a_*, b_*) reach the likeness, by set sizes and sketches?
+
+    Cheap tests come first: sizes, then one bit per signature value, then one byte per value.
+    ``once`` is tested before the bytes.
+    """
     small = F.least("a_n", "b_n")
     large = F.greatest("a_n", "b_n")
-    different = sum(
+    unlike = 1 - numerator / denominator
+    bits = sum(
         (F.bit_count(F.col(f"a_bits_{k}").bitwiseXOR(F.col(f"b_bits_{k}"))) for k in range(4)), F.lit(0)
     )
-    return (denominator * small >= numerator * large) & (different <= MAX_DIFFERENT_BITS)
+
+    def bytes_differ(x: Column, y: Column) -> Column:
+        z = x.bitwiseXOR(y)
+        for shift in (4, 2, 1):  # the lowest bit of a byte becomes the or of all its bits
+            z = z.bitwiseOR(F.shiftrightunsigned(z, shift))
+        return F.bit_count(z.bitwiseAND(F.lit(0x0101010101010101)))
+
+    values = F.aggregate(
+        F.zip_with("a_places", "b_places", bytes_differ), F.lit(0), lambda n, x: n + x
+    )
+    test = (denominator * small >= numerator * large) & (bits <= _most(SKETCH_BITS, unlike / 2))
+    if once is not None:
+        test = test & once
+    return test & (values <= _most(2 * permutations, unlike * 255 / 256))
 
 
 def _side(nodes: DataFrame, side: str) -> DataFrame:
@@ -219,7 +250,7 @@ def near_duplicates(
     nodes = stored_copy(
         linkable.join(sets, ["set_hi", "set_lo"]).where(F.col("doc_id") == F.col("rep")).select(
             F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"),
-            *[f"bits_{k}" for k in range(4)], "bands",
+            *[f"bits_{k}" for k in range(4)], "bands", "places",
         ).dropDuplicates(["id", "n", *[f"bits_{k}" for k in range(4)]]),
         "minmax-nodes",
     )
@@ -234,7 +265,7 @@ def near_duplicates(
         likely = (
             pairs.join(_side(small, "b"), F.col("b") == F.col("b_id"))
             .join(_side(small, "a"), F.col("a") == F.col("a_id"))
-            .where(_alike(numerator, denominator))
+            .where(_alike(numerator, denominator, permutations))
             .select("a", "b")
             .distinct()
         )
@@ -271,20 +302,17 @@ def near_duplicates(
         labels = connected_components(links, "a", "b")
     left = apart(labels)
     if not left.isEmpty():
-        # What is left: every pair of one bucket in two components that sketches do not rule out.
-        sided = left.join(small, "id")
-        one = sided.select("key", *[F.col(c).alias(f"a_{c}") for c in sided.columns if c != "key"])
-        two = sided.select("key", *[F.col(c).alias(f"b_{c}") for c in sided.columns if c != "key"])
-        rest = (
-            one.join(
-                two,
-                (one["key"] == two["key"])
-                & (F.col("a_component") < F.col("b_component"))
-                & _alike(numerator, denominator),
-            )
-            .select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
-            .distinct()
-        )
+        # What is left: every pair of one bucket in two components that sketches do not rule out,
+        # taken from the first bucket that the two share.
+        sided = left.join(nodes, "id")
+        one, two = _side(sided, "a"), _side(sided, "b")
+        first_shared = F.array_min(F.array_intersect("a_bands", "b_bands")) == F.col("a_key")
+        rest = one.join(
+            two,
+            (F.col("a_key") == F.col("b_key"))
+            & (F.col("a_component") < F.col("b_component"))
+            & _alike(numerator, denominator, permutations, first_shared),
+        ).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
         links = stored_copy(
             links.unionByName(confirmed(rest, docs, numerator, denominator, width, doc_id, text)),
             "minmax-links",
