@@ -282,16 +282,27 @@ def _(t):
     return seg.seg_attendance(t("ml_fan_segments"), t("customer_360"))
 
 
+JUDGED = "(SELECT churn_flag, churn_probability FROM fan_features JOIN ml_churn_scores USING (customer_id))"
+
+
 @query(
     "seg_model_card",
-    """SELECT 'K-Means Fan Segmentation' AS segmentation_model, 'gold.kmeans_fan_segmentation' AS segmentation_registry,
+    f"""SELECT 'K-Means Fan Segmentation' AS segmentation_model, 'gold.kmeans_fan_segmentation' AS segmentation_registry,
         5 AS n_segments, 'gold.gbt_churn_predictor' AS churn_registry,
-        'Gradient-Boosted Churn Predictor' AS churn_model, CAST(0.94 AS DOUBLE) AS churn_model_auc,
-        CAST(0.85 AS DOUBLE) AS churn_model_accuracy, (SELECT max(scored_at) FROM ml_churn_scores) AS last_scored_at,
+        'Gradient-Boosted Churn Predictor' AS churn_model,
+        (SELECT {R("(s - CAST(p AS DOUBLE) * (p + 1) / 2) / (CAST(p AS DOUBLE) * n)", 6)}
+         FROM (SELECT count(*) FILTER (churn_flag = 1) AS p, count(*) FILTER (churn_flag = 0) AS n,
+                      sum(r) FILTER (churn_flag = 1) AS s
+               FROM (SELECT churn_flag, rank() OVER (ORDER BY churn_probability)
+                            + (count(*) OVER (PARTITION BY churn_probability) - 1) / CAST(2 AS DOUBLE) AS r
+                     FROM {JUDGED}))) AS churn_model_auc,
+        (SELECT {R("CAST(count(*) FILTER (CAST(churn_probability >= 0.5 AS INTEGER) = churn_flag) AS DOUBLE) / count(*)", 4)}
+         FROM {JUDGED}) AS churn_model_accuracy,
+        (SELECT max(scored_at) FROM ml_churn_scores) AS last_scored_at,
         (SELECT count(DISTINCT segment_label) FROM ml_fan_segments) AS active_segments""",
 )
 def _(t):
-    return seg.seg_model_card(t("ml_churn_scores"), t("ml_fan_segments"))
+    return seg.seg_model_card(t("ml_churn_scores"), t("ml_fan_segments"), t("fan_features"))
 
 
 @query(

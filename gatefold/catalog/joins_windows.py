@@ -156,8 +156,8 @@ def _(t):
 def _(t):
     base = t("game_revenue").select("game_id", "game_number", "gross_revenue", "result_numeric")
     gross = F.coalesce("gross_revenue", F.lit(0.0)).cast("decimal(18,4)")
-    summed = w.running_sum(base, gross, "game_number", "cumulative_revenue", width=16)
-    both = w.running_sum(summed, "result_numeric", "game_number", "wins_to_date", width=16)
+    summed = w.running_sum(base, gross, "game_number", "cumulative_revenue")
+    both = w.running_sum(summed, "result_numeric", "game_number", "wins_to_date")
     return both.select(
         "game_id", "game_number", round_to("cumulative_revenue", 2).alias("cumulative_revenue"), "wins_to_date"
     )
@@ -214,7 +214,7 @@ def _(t):
 )
 def _(t):
     return w.share_of_total(
-        t("fact_tickets"), ["purchase_channel"], F.sum("ticket_price"), "pct_of_revenue"
+        t("fact_tickets"), ["purchase_channel"], F.sum("ticket_price"), "pct_of_revenue", few_groups=True
     )
 
 

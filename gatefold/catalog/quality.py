@@ -95,3 +95,33 @@ def _(t):
     )
     events = dq.check(t("dim_game"), "events numbered from 1", F.min("game_number") == 1, order=3)
     return dq.scorecard([events, tickets], keep_order=True)
+
+
+# Accepted values of the mapped tables.
+ACCEPTED = {"sections": tuple(roles.TIER_RANKS), "channels": roles.SALES_CHANNELS}
+WARNED = {
+    "dim_game": "dim_game", "dim_customer": "dim_customer", "fact_tickets": "fact_tickets",
+    "bridge_promo": "bridge_promo", "raw_customers": "raw_customers_stream", "raw_tickets": "raw_tickets_stream",
+}
+
+
+def warn_sql(rules: str, table: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{n}' AS rule, count(*) AS total_rows, count(*) FILTER (({c}) IS NOT TRUE) AS violations FROM {table}"
+        for n, c in silver.warn_rules(rules, **ACCEPTED).items()
+    )
+
+
+def _warned(rules: str, table: str):
+    @query(f"dq_warn_{rules}", warn_sql(rules, table))
+    def _(t):
+        """Warn-only expectations of the table, counted while its rows are written through."""
+        watched, observed = silver.with_expectations(t(table), rules, **ACCEPTED)
+        watched.write.format("noop").mode("overwrite").save()
+        seen = observed.get
+        rows = [(r, seen["rows_seen"], seen[r]) for r in silver.warn_rules(rules, **ACCEPTED)]
+        return t.spark.createDataFrame(rows, "rule string, total_rows long, violations long")
+
+
+for _rules, _table in WARNED.items():
+    _warned(_rules, _table)

@@ -14,6 +14,7 @@ from ..session import scratch_dir
 from ..sources.files import stream_json, stream_table
 from ..sources.layers import read_layer, write_keyed, write_layer
 from ..streaming import jobs
+from .quality import ACCEPTED, warn_sql
 from .registry import query
 
 TICKET_SCHEMA = (
@@ -96,11 +97,20 @@ def _(t):
 
 @query("src_stream_table", f"SELECT {AS_DOUBLE} FROM raw_tickets_stream")
 def _(t):
+    """A first delivery, then the table is overwritten with itself, then a second delivery."""
     root = scratch_dir(t.spark, "src_table_stream")
-    for part in _drops(t("raw_tickets_stream")):
-        write_layer(part, root, "bronze", "tickets", mode="append")
-        stream = stream_table(t.spark, f"{root}/bronze/tickets/v1")
+    first, second = _drops(t("raw_tickets_stream"))
+
+    def run():
+        stream = stream_table(t.spark, root, "bronze", "tickets", f"{root}/checkpoint")
         jobs.run_stream(stream, f"{root}/out", f"{root}/checkpoint")
+
+    write_layer(first, root, "bronze", "tickets", mode="append")
+    run()
+    write_layer(read_layer(t.spark, root, "bronze", "tickets"), root, "bronze", "tickets")
+    run()
+    write_layer(second, root, "bronze", "tickets", mode="append")
+    run()
     return t.spark.read.parquet(f"{root}/out")
 
 
@@ -180,14 +190,52 @@ def _(t):
     for part in _drops(t("raw_tickets_stream")):
         write_layer(part, root, "bronze", "raw_tickets_stream", mode="append")
         jobs.silver_stream(
-            stream_table(t.spark, f"{root}/bronze/raw_tickets/v1"),
-            stream_table(t.spark, f"{root}/bronze/raw_tickets_stream/v1"),
+            stream_table(t.spark, root, "bronze", "raw_tickets", f"{root}/checkpoint"),
+            stream_table(t.spark, root, "bronze", "raw_tickets_stream", f"{root}/checkpoint"),
             lambda df: silver.enrich_ticket(df, roles.TIER_RANKS),
             silver.TICKET_DROP_RULES,
             f"{root}/out",
             f"{root}/checkpoint",
+            silver.warn_rules("fact_tickets", **ACCEPTED),
+            f"{root}/warned",
         )
-    return t.spark.read.parquet(f"{root}/out")
+    return t.spark.read.parquet(f"{root}/out").drop("batch_id")
+
+
+def _customer_stream(t) -> str:
+    """Seed customers as a table stream and sign-ups as a second one, in two deliveries."""
+    root = scratch_dir(t.spark, "dim_customer")
+    write_layer(t("raw_customers"), root, "bronze", "raw_customers")
+    for part in _drops(t("raw_customers_stream")):
+        write_layer(part, root, "bronze", "raw_customers_stream", mode="append")
+        jobs.silver_stream(
+            stream_table(t.spark, root, "bronze", "raw_customers", f"{root}/checkpoint"),
+            stream_table(t.spark, root, "bronze", "raw_customers_stream", f"{root}/checkpoint"),
+            (
+                lambda df: silver.clean_customer(df, "seed", roles.AS_OF),
+                lambda df: silver.clean_customer(df, "simulator", roles.AS_OF),
+            ),
+            silver.CUSTOMER_DROP_RULES,
+            f"{root}/out",
+            f"{root}/checkpoint",
+            silver.warn_rules("dim_customer", **ACCEPTED),
+            f"{root}/warned",
+        )
+    return root
+
+
+@query("stream_dim_customer", "SELECT * FROM dim_customer")
+def _(t):
+    """The customer dimension as a streaming table."""
+    return t.spark.read.parquet(f"{_customer_stream(t)}/out").drop("batch_id")
+
+
+@query("stream_warn_customer", warn_sql("dim_customer", "dim_customer"))
+def _(t):
+    """Warn counts of the streamed customer dimension, added up over its batches."""
+    return t.spark.read.parquet(f"{_customer_stream(t)}/warned").groupBy("rule").agg(
+        F.sum("total_rows").alias("total_rows"), F.sum("violations").alias("violations")
+    )
 
 
 @query("stream_quarantine", "SELECT * FROM quarantine_tickets")

@@ -39,7 +39,7 @@ BRONZE = [
     (9, "exactly one special event", "raw_events", "count(*) FILTER (is_jersey_night) = 1"),
     (10, "special event is sold out", "raw_events", "max(CASE WHEN is_jersey_night THEN arena_fill_pct END) = 1"),
     (11, "special event acquisitions", "raw_customers", "count(*) FILTER (acquisition_channel = 'household') = 412"),
-    (12, "slump promo rate above hot start", "raw_tickets", f"round({SLUMP} * 100, 1) > round({HOT} * 100, 1)"),
+    (12, "slump promo rate above hot start", "raw_tickets", f"{SLUMP} > {HOT}"),
 ]
 
 
@@ -58,12 +58,12 @@ def _(t):
     )
 
 
-def _phase_profile_sql(fact, events):
-    return f"""SELECT f.season_phase, count(DISTINCT f.game_id) AS games, count(*) AS total_tickets,
+def _phase_profile_sql(fact, events, phase="f"):
+    return f"""SELECT {phase}.season_phase, count(DISTINCT f.game_id) AS games, count(*) AS total_tickets,
         {R("avg(ticket_price)", 2)} AS avg_ticket_price, {P("is_promo_ticket")} AS promo_rate_pct,
         count(DISTINCT customer_id) AS unique_buyers, {R("sum(ticket_price)", 2)} AS total_revenue,
         {R("avg(arena_fill_pct) * 100", 1)} AS avg_fill_pct
-        FROM {fact} f JOIN {events} e ON f.game_id = e.game_id GROUP BY f.season_phase"""
+        FROM {fact} f JOIN {events} e ON f.game_id = e.game_id GROUP BY {phase}.season_phase"""
 
 
 @query("val_phase_profile", _phase_profile_sql("fact_tickets", "dim_game"))
@@ -71,9 +71,9 @@ def _(t):
     return v.val_phase_profile(t("fact_tickets"), t("dim_game"))
 
 
-@query("val_phase_profile_bronze", _phase_profile_sql("raw_tickets", "raw_events"))
+@query("val_phase_profile_bronze", _phase_profile_sql("raw_tickets", "raw_events", "e"))
 def _(t):
-    return v.val_phase_profile(t("raw_tickets"), t("raw_events"))
+    return v.val_phase_profile(t("raw_tickets"), t("raw_events"), phase_of="event")
 
 
 @query(
@@ -157,7 +157,7 @@ def _(t):
         UNION ALL SELECT 'No dirty names in dim_customer', {verdict(f"count(*) FILTER ({DIRTY}) = 0", PASS, FAIL)} FROM dim_customer
         UNION ALL SELECT 'fact_tickets > 10k rows', {verdict("count(*) > 10000", PASS, FAIL)} FROM fact_tickets
         UNION ALL SELECT 'Quarantine table is empty', {verdict("count(*) = 0", PASS, REVIEW)} FROM quarantine_tickets
-        UNION ALL SELECT 'Slump promo rate > Hot Start promo rate', {verdict(f"round({SLUMP} * 100, 1) > round({HOT} * 100, 1)", PASS, FAIL)} FROM fact_tickets""",
+        UNION ALL SELECT 'Slump promo rate > Hot Start promo rate', {verdict(f"{SLUMP} > {HOT}", PASS, FAIL)} FROM fact_tickets""",
 )
 def _(t):
     return v.val_silver_scorecard(*map(t, ["dim_game", "dim_customer", "fact_tickets", "quarantine_tickets"]))

@@ -25,8 +25,8 @@ CHURN_FEATURES = [
 
 # Hex digits of the hash that form a bucket: 65536 even buckets per label.
 _BUCKET_DIGITS = 4
-# Up to this many classes the cuts become literals; beyond it they are joined.
-_LITERAL_CLASSES = 100
+# Rounds without a better validation loss before boosting stops.
+PATIENCE = 20
 
 
 def stratified_split(
@@ -36,8 +36,9 @@ def stratified_split(
 
     The cut is found from hash-bucket counts; only the one bucket per label that holds the
     cut is ranked. Hash values are even, so neither a dominant label nor a large table
-    gathers in one task. The cuts, one per class, are then compared as literals: the rows
-    themselves are not shuffled by their few labels. ``key`` must be unique.
+    gathers in one task. The cuts, one row per class, are joined back; a table of that size is
+    broadcast once its size is known, and beyond that AQE splits a dominant label. ``key`` must
+    be unique.
     """
     hashed = df.withColumn("_h", F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed)))))
     bucket = F.substring("_h", 1, _BUCKET_DIGITS)
@@ -62,15 +63,8 @@ def stratified_split(
         .filter(F.col("_at") == F.col("_take"))
         .select("_l", F.col("_h").alias("_limit"))
     )
-    found = limits.limit(_LITERAL_CLASSES + 1).collect()
-    if len(found) > _LITERAL_CLASSES:
-        marked = hashed.join(limits, same_label, "left")
-        limit = F.col("_limit")
-    else:
-        marked, limit = hashed, F.lit(None).cast("string")
-        for row in found:
-            limit = F.when(F.col(label).eqNullSafe(F.lit(row["_l"])), F.lit(row["_limit"])).otherwise(limit)
-    test = F.coalesce(F.col("_h") <= limit, F.lit(False))
+    marked = hashed.join(limits, same_label, "left")
+    test = F.coalesce(F.col("_h") <= F.col("_limit"), F.lit(False))
     return marked.withColumn(name, test).drop("_h", "_l", "_limit")
 
 
@@ -89,31 +83,70 @@ def _filled(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols})
 
 
+def best_round(losses: Sequence[float], patience: int = PATIENCE) -> tuple[int, bool]:
+    """(number of rounds to keep, has the patience run out) for validation losses per round.
+
+    Boosting would stop ``patience`` rounds after the lowest loss so far; later losses are not seen.
+    """
+    best = 0
+    for at, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = at
+        elif at - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
 def fit_churn(
     train: DataFrame, valid: DataFrame, cols: Sequence[str] = CHURN_FEATURES,
     label: str = "churn_flag", rounds: int = 300, depth: int = 4, rate: float = 0.05,
-    subsample: float = 0.8, colsample: float = 0.8, seed: int = 42,
+    subsample: float = 0.8, colsample: float = 0.8, seed: int = 42, patience: int = PATIENCE,
 ) -> PipelineModel:
-    """Boosted trees with positive-class weight and early stopping on ``valid``.
+    """Boosted trees with positive-class weight, stopped early on ``valid`` with patience.
 
-    ``valid`` must not be the test set, or the reported quality is too good.
+    The first trees of a longer fit are the trees of a shorter one with the same seed. So the
+    number of rounds is doubled until the validation loss has not improved for ``patience`` rounds
+    or ``rounds`` is reached, and the model of the best round is fitted; the weighted loss of its
+    rounds is kept in ``validation_losses``. ``valid`` must not be the test set, or the reported
+    quality is too good.
     """
     ensure_checkpoint_dir(train.sparkSession)
     weight = class_weight(train, label).select("scale_pos_weight").scalar()
-    both = train.select(label, *cols, F.lit(False).alias("_valid")).unionByName(
-        valid.select(label, *cols, F.lit(True).alias("_valid"))
-    )
-    rows = _filled(both, [*cols, label]).withColumn(
-        "_weight", F.when(F.col(label) == 1, F.coalesce(weight, F.lit(1.0))).otherwise(F.lit(1.0))
-    )
     assembler = VectorAssembler(inputCols=list(cols), outputCol="_features")
-    trees = GBTClassifier(
-        labelCol=label, featuresCol="_features", weightCol="_weight",
-        validationIndicatorCol="_valid", maxIter=rounds, maxDepth=depth, stepSize=rate,
-        subsamplingRate=subsample, featureSubsetStrategy=str(colsample), seed=seed,
-        checkpointInterval=10,
-    )
-    return PipelineModel([assembler, trees.fit(assembler.transform(rows))])
+
+    def prepared(df: DataFrame) -> DataFrame:
+        rows = _filled(df.select(label, *cols), [*cols, label]).withColumn(
+            "_weight",
+            F.when(F.col(label) == 1, F.coalesce(weight, F.lit(1.0))).otherwise(F.lit(1.0)),
+        )
+        return assembler.transform(rows).select(label, "_features", "_weight")
+
+    seen, unseen = prepared(train).persist(), prepared(valid).persist()
+
+    def fitted(n: int):
+        return GBTClassifier(
+            labelCol=label, featuresCol="_features", weightCol="_weight", maxIter=n, maxDepth=depth,
+            stepSize=rate, subsamplingRate=subsample, featureSubsetStrategy=str(colsample), seed=seed,
+            checkpointInterval=10,
+        ).fit(seen)
+
+    try:
+        n = min(rounds, 2 * patience)
+        while True:
+            model = fitted(n)
+            losses = list(model.evaluateEachIteration(unseen))
+            keep, stopped = best_round(losses, patience)
+            if stopped or n >= rounds:
+                break
+            n = min(rounds, 2 * n)
+        if keep < n:
+            model = fitted(keep)
+    finally:
+        seen.unpersist()
+        unseen.unpersist()
+    pipeline = PipelineModel([assembler, model])
+    pipeline.validation_losses = losses[:keep]
+    return pipeline
 
 
 def score_churn(

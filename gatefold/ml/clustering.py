@@ -144,6 +144,16 @@ def label_segments(
     return named.withColumn("segment_label", F.coalesce("segment_label", F.lit("Casual Fan")))
 
 
+def nearest(
+    model: PipelineModel, features: DataFrame, cols: Sequence[str] = CLUSTER_FEATURES,
+    key: str = "customer_id",
+) -> DataFrame:
+    """Key, cluster, distance and the scaled inputs as an array, per customer."""
+    scaled = PipelineModel(model.stages[:-1]).transform(_filled(features.select(key, *cols), cols))
+    placed = scaled.select(key, vector_to_array("_scaled").alias("_scaled_array"))
+    return assign(placed, centers_of(model), F.col("_scaled_array"))
+
+
 def segment_scores(
     model: PipelineModel, features: DataFrame, cols: Sequence[str] = CLUSTER_FEATURES,
     names: Mapping[int, str] | None = None, key: str = "customer_id",

@@ -23,13 +23,21 @@ def violation_counters(rules: Rules) -> list[Column]:
     return [F.count_if(~_passes(rule)).alias(name) for name, rule in rules.items()]
 
 
-def expect(df: DataFrame, rules: Rules, name: str | None = None) -> tuple[DataFrame, Observation]:
+def expect(
+    df: DataFrame, rules: Rules, name: str | None = None
+) -> tuple[DataFrame, Observation | None]:
     """Keep every row and count violations while the rows flow by.
 
     The counts ride along with whatever action consumes the result (no second pass); read
-    them from ``observation.get`` afterwards.
+    them from ``observation.get`` afterwards. On a stream ``name`` is required and the counts of
+    every batch are in ``query.recentProgress[i].observedMetrics[name]``; no observation is given.
     """
-    observation = Observation(name) if name else Observation()
+    if df.isStreaming:
+        if not name:
+            raise ValueError("name the expectations of a stream")
+        return df.observe(name, F.count(F.lit(1)).alias("rows_seen"), *violation_counters(rules)), None
+    # a name may be used by one running observation only, so batches get a fresh one
+    observation = Observation()
     counters = [F.count(F.lit(1)).alias("rows_seen"), *violation_counters(rules)]
     return df.observe(observation, *counters), observation
 

@@ -22,7 +22,8 @@ def exact_quantiles(
     """(by..., column_name, n_values, mean, min, max, q0, q1, ...) per group and column.
 
     Quantiles interpolate linearly between neighbours. All ``cols`` go through one pass.
-    NULLs are ignored; a group whose column holds only NULLs gives no row.
+    NULLs are ignored; a group whose column holds only NULLs gives no row. Values are doubles of
+    any size; NaN sorts last and makes the mean NaN.
     """
     cells = F.array(
         *[
@@ -35,7 +36,7 @@ def exact_quantiles(
     freq = values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
     ranked = prefix_sums(freq, keys, ["_v"], ["_n"])
     start, size, v = F.col("_n_before"), F.col("_n_total"), F.col("_v")
-    weighted = F.sum(v.cast("decimal(24,8)") * F.col("_n").cast("decimal(13,0)")).cast("double")
+    weighted = F.sum(v * F.col("_n"))
     aggs = [
         F.sum("_n").alias("n_values"),
         (weighted / F.sum("_n")).alias("mean"),

@@ -14,50 +14,30 @@ from pyspark.sql import functions as F
 from ..functions.expressions import round_to
 from .prefix import prefix_sums
 
-# Rows a slice may hold when the order key is a dense number (one row per number).
+# Rows in a slice of positions.
 SLICE_WIDTH = 4096
 
 
-def _slice(order: str, width: int) -> Column:
-    return F.floor(F.col(order).cast("long") / F.lit(width))
-
-
 def running_sum(
     df: DataFrame,
     col: str | Column,
     order: str,
     name: str,
     by: Sequence[str] = (),
-    width: int = SLICE_WIDTH,
+    slices: int | None = None,
 ) -> DataFrame:
-    """Running total over a numeric ``order`` key that is unique within ``by``.
+    """Running total over an ``order`` key that is unique within ``by``; NULL before the first value.
 
-    Rows are cut into slices of ``width`` key values: a window inside each slice, plus the
-    total of the earlier slices. A task sees at most ``width`` rows, or one row per slice.
+    Slices hold ranges of rows, not of key values, so sparse keys such as seconds or ids are
+    spread as evenly as dense ones.
     """
     value = F.col(col) if isinstance(col, str) else col
-    keys = [*by, "_slice"]
-    sliced = df.withColumn("_slice", _slice(order, width)).withColumn("_value", value)
-    totals = sliced.groupBy(*keys).agg(F.sum("_value").alias("_total"))
-    earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*keys, F.sum("_total").over(earlier).alias("_carry"))
-    inside = (
-        Window.partitionBy(*keys)
-        .orderBy(order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    zero = F.lit(0)
-    joined = sliced.withColumn("_inside", F.sum("_value").over(inside)).join(
-        carried.withColumnsRenamed({k: f"_k_{k}" for k in keys}),
-        on=[F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys],
-    )
-    total = F.when(
-        F.col("_inside").isNotNull() | F.col("_carry").isNotNull(),
-        F.coalesce(F.col("_inside"), zero) + F.coalesce(F.col("_carry"), zero),
-    )
-    return joined.withColumn(name, total).drop(
-        "_slice", "_value", "_inside", "_carry", *[f"_k_{k}" for k in keys]
-    )
+    valued = df.withColumns({"_value": value, "_seen": value.isNotNull().cast("long")})
+    summed = prefix_sums(valued, by, [order], ["_value", "_seen"], slices)
+    total = F.col("_value_before") + F.coalesce(F.col("_value"), F.lit(0))
+    filled = F.when(F.col("_seen_before") + F.col("_seen") > 0, total)
+    helpers = [f"{c}{end}" for c in ("_value", "_seen") for end in ("", "_before", "_total")]
+    return summed.withColumn(name, filled).drop(*helpers)
 
 
 def moving_avg(
@@ -68,20 +48,21 @@ def moving_avg(
     n: int = 3,
     digits: int | None = None,
     width: int = SLICE_WIDTH,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Mean of the current and ``n - 1`` preceding rows by a unique numeric ``order`` key.
+    """Mean of the current and ``n - 1`` preceding rows by an ``order`` key unique within ``by``.
 
     Rows get their exact position from :func:`running_sum`, are cut into slices of ``width``
     positions, and each slice borrows the ``n - 1`` rows before its first.
     """
-    placed = running_sum(df, F.lit(1).cast("long"), order, "_pos", width=width)
+    placed = running_sum(df, F.lit(1).cast("long"), order, "_pos", by)
     placed = placed.withColumn("_pos", F.col("_pos") - 1)
     home = F.floor(F.col("_pos") / F.lit(width))
     borrowed = F.floor((F.col("_pos") + F.lit(n - 1)) / F.lit(width))
     spread = placed.withColumn("_home", home).withColumn(
         "_slice", F.explode(F.sequence(home, borrowed))
     )
-    frame = Window.partitionBy("_slice").orderBy("_pos").rowsBetween(-(n - 1), 0)
+    frame = Window.partitionBy(*by, "_slice").orderBy("_pos").rowsBetween(-(n - 1), 0)
     mean = F.avg(F.col(col)).over(frame)
     out = spread.withColumn(name, mean if digits is None else round_to(mean, digits))
     return out.filter(F.col("_slice") == F.col("_home")).drop("_pos", "_home", "_slice")
@@ -128,19 +109,19 @@ def share_of_total(
     measure: Column,
     name: str,
     extra: Sequence[Column] = (),
-    many_groups: bool = False,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Group, aggregate ``measure``, and give each group's percentage of the grand total.
 
-    The total is taken over the finished groups (a handful of categories), so the input is
-    read once. With ``many_groups`` it is a scalar subquery over the input instead, and the
-    groups stay distributed.
+    The total is a scalar subquery over the input and the groups stay distributed. Where ``by`` is
+    known to have a handful of values, ``few_groups`` sums the finished groups in one window
+    instead and reads the input once.
     """
     grouped = df.groupBy(*by).agg(measure.alias("_measure"), *extra)
-    if many_groups:
-        total = df.agg(measure.alias("_total")).scalar().cast("double")
-    else:
+    if few_groups:
         total = F.sum("_measure").over(Window.partitionBy()).cast("double")
+    else:
+        total = df.agg(measure.alias("_total")).scalar().cast("double")
     share = F.col("_measure").cast("double") * 100.0 / F.nullif(total, F.lit(0.0))
     return grouped.withColumn(name, round_to(share, 1)).drop("_measure")
 

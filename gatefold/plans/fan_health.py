@@ -78,6 +78,7 @@ def fh_churn_distribution(scores: DataFrame) -> DataFrame:
     tiers = share_of_total(
         scores, ["risk_tier"], n_rows(), "pct_of_total",
         [n_rows().alias("fan_count"), mean_of("churn_probability", 1, scale=100).alias("avg_churn_prob_pct")],
+        few_groups=True,
     )
     return order_by(
         tiers.withColumn("sort_order", map_values("risk_tier", TIER_ORDER)), ["sort_order"]

@@ -123,6 +123,7 @@ def rev_section_tier(fact: DataFrame) -> DataFrame:
             mean_of("ticket_price", 2).alias("avg_ticket_price"),
             pct("is_promo_ticket").alias("promo_rate_pct"),
         ],
+        few_groups=True,
     )
     return order_by(sections, [F.col("seat_tier_rank").desc_nulls_last()])
 

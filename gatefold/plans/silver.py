@@ -30,6 +30,7 @@ ACQUISITION_CHANNELS = (
     "email_campaign", "promo_code", "corporate", "jersey_night_event",
 )
 PURCHASE_CHANNELS = ("online", "box_office", "mobile_app", "reseller")
+HOME_STATES = ("ID",)
 PLAYOFF_PHASES = ("late_push", "jersey_night", "post_jersey")
 
 # Money is kept as DECIMAL in silver: sums are exact and independent of task order.
@@ -234,6 +235,25 @@ def build_bridge_promo(promos: DataFrame, deep: float = 0.40, moderate: float =
     )
 
 
-def with_expectations(df: DataFrame, rules: Mapping[str, str]):
-    """Warn-only expectations of a table: (table, observation)."""
-    return expect(df, rules)
+def warn_rules(
+    table: str, sections: Sequence[str] = tuple(SECTION_RANKS), channels: Sequence[str] = PURCHASE_CHANNELS,
+    acquisition: Sequence[str] = ACQUISITION_CHANNELS, states: Sequence[str] = HOME_STATES,
+) -> dict[str, str]:
+    """Warn-only expectations of a bronze or silver table; a table without any has none."""
+    rules = {
+        "raw_customers": {
+            **CUSTOMER_DROP_RULES,
+            "valid_state": _in("state", states),
+        },
+        "raw_tickets": TICKET_DROP_RULES,
+        "dim_game": EVENT_RULES,
+        "dim_customer": customer_warn_rules(acquisition),
+        "fact_tickets": ticket_warn_rules(sections, channels),
+        "bridge_promo": PROMO_RULES,
+    }
+    return rules.get(table, {})
+
+
+def with_expectations(df: DataFrame, table: str, **accepted):
+    """A table with its warn-only expectations: (table, observation), or (stream, None)."""
+    return expect(df, warn_rules(table, **accepted), f"expectations_of_{table}")

@@ -1,7 +1,8 @@
 """The pipeline's stored tables for one source folder, built on first use.
 
 Every layer reads the layer below as stored, as a production run would; a table is computed
-once per application and source folder, in the shared scratch folder.
+once per application and state of the source folder, in the shared scratch folder. Silver tables
+count their warn-only expectations while they are written.
 """
 
 from __future__ import annotations
@@ -17,7 +18,9 @@ from ..session import scratch_dir
 from ..sources.layers import write_keyed, write_layer
 from . import gold, silver
 
-_BUILT: dict[tuple[str, str, str], DataFrame] = {}
+_BUILT: dict[tuple[str, str, str, str], DataFrame] = {}
+# (rows and violations per rule) of the silver tables, by the same key
+EXPECTED: dict[tuple[str, str, str, str], dict[str, int]] = {}
 
 
 def _bronze(name: str):
@@ -102,18 +105,35 @@ TABLES = {
 }
 
 
+def source_state(spark: SparkSession, sf_dir: str) -> str:
+    """Digest of the names, sizes and times of the source files, two folder levels deep."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = top.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    seen = []
+    for entry in fs.listStatus(top):
+        for file in fs.listStatus(entry.getPath()) if entry.isDirectory() else [entry]:
+            seen.append(f"{file.getPath()} {file.getLen()} {file.getModificationTime()}")
+    return hashlib.md5("\n".join(sorted(seen)).encode()).hexdigest()
+
+
 def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The stored table ``name`` for the source folder ``sf_dir``."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """The stored table ``name`` for the source folder ``sf_dir``, built anew once files change."""
+    state = source_state(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, state, name)
     if key not in _BUILT:
         layer, build, bucket_key = TABLES[name]
-        tag = hashlib.md5(sf_dir.encode()).hexdigest()[:10]
+        tag = hashlib.md5(f"{sf_dir} {state}".encode()).hexdigest()[:10]
         base = f"{scratch_dir(spark)}/tables-{tag}"
-        df = build(spark, sf_dir)
+        df, watched = build(spark, sf_dir), None
+        if layer == "silver" and silver.warn_rules(name):
+            accepted = {"sections": tuple(roles.TIER_RANKS), "channels": roles.SALES_CHANNELS}
+            df, watched = silver.with_expectations(df, name, **accepted)
         if layer == "view":
             _BUILT[key] = df
         elif name == "fan_features":
             _BUILT[key] = write_keyed(df, base, layer, name, ["customer_id"], bucket_by=bucket_key)
         else:
             _BUILT[key] = write_layer(df, base, layer, name, bucket_by=bucket_key)
+        if watched is not None:
+            EXPECTED[key] = dict(watched.get)
     return _BUILT[key]

@@ -40,8 +40,10 @@ def _untidy_name() -> Column:
 
 
 def _promo_rate(phase: str) -> Column:
+    """Unrounded share of promotion tickets in a phase."""
     in_phase = F.col("season_phase") == phase
-    return pct(in_phase & F.col("is_promo_ticket"), of=in_phase)
+    promo = F.count_if(in_phase & F.col("is_promo_ticket"))
+    return promo.cast("double") / F.nullif(F.count_if(in_phase), F.lit(0))
 
 
 # ---------------------------------------------------------------- bronze
@@ -97,19 +99,24 @@ def val_bronze_checks(
     return scorecard(parts, keep_order=True)
 
 
-def val_phase_profile(fact: DataFrame, events: DataFrame) -> DataFrame:
+def val_phase_profile(fact: DataFrame, events: DataFrame, phase_of: str = "ticket") -> DataFrame:
     """Season story per phase, in season order; tickets without a known event are left out.
 
-    Tickets are first reduced to one row per event and phase, and only those meet the events.
-    Buyers are counted apart, from distinct (phase, customer) pairs.
+    The phase is the ticket's own, or with ``phase_of="event"`` that of its event. Tickets are first
+    reduced to one row per event and phase, buyers to distinct (event, phase, customer); only those
+    meet the events.
     """
-    by_event = fact.groupBy("game_id", "season_phase").agg(
+    keys = ["game_id", "season_phase"] if phase_of == "ticket" else ["game_id"]
+    known_events = events.select(
+        "game_id", "game_number", "arena_fill_pct", *(["season_phase"] if phase_of == "event" else [])
+    )
+    by_event = fact.groupBy(*keys).agg(
         n_rows().alias("tickets"),
         F.sum(_money("ticket_price")).alias("revenue"),
         F.count("ticket_price").alias("priced"),
         count_where("is_promo_ticket").alias("promo"),
     )
-    known = by_event.join(events.select("game_id", "game_number", "arena_fill_pct"), "game_id")
+    known = by_event.join(known_events, "game_id")
     tickets = F.sum("tickets")
     fill = F.sum(F.col("arena_fill_pct").cast("decimal(12,8)") * F.col("tickets").cast("decimal(20,0)"))
     story = known.groupBy("season_phase").agg(
@@ -121,7 +128,9 @@ def val_phase_profile(fact: DataFrame, events: DataFrame) -> DataFrame:
         round_to(fill.cast("double") / tickets * 100, 1).alias("avg_fill_pct"),
         F.min("game_number").alias("_first"),
     )
-    seen = fact.select("game_id", "season_phase", KEY).join(events.select("game_id"), "game_id")
+    seen = fact.select(*keys, KEY).distinct().join(
+        known_events.drop("game_number", "arena_fill_pct"), "game_id"
+    )
     buyers = distinct_count_by(seen, "season_phase", KEY, "unique_buyers").withColumnRenamed(
         "season_phase", "_phase"
     )
@@ -182,6 +191,7 @@ def val_advance_dist(fact: DataFrame) -> DataFrame:
     return share_of_total(
         fact, ["is_advance_purchase"], n_rows(), "pct_of_total",
         [n_rows().alias("tickets"), mean_of(_money("ticket_price"), 2).alias("avg_price")],
+        few_groups=True,
     )
 
 
@@ -309,7 +319,7 @@ def val_ml_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 def val_segment_dist(segments: DataFrame) -> DataFrame:
     """Segment sizes and shares."""
     shares = share_of_total(
-        segments, ["segment_label"], n_rows(), "pct_of_total", [n_rows().alias("fan_count")]
+        segments, ["segment_label"], n_rows(), "pct_of_total", [n_rows().alias("fan_count")], few_groups=True
     )
     return order_by(shares, ["-fan_count"])
 
@@ -325,6 +335,7 @@ def val_tier_dist(scores: DataFrame) -> DataFrame:
             round_to(F.min(p), 3).alias("min_prob"),
             round_to(F.max(p), 3).alias("max_prob"),
         ],
+        few_groups=True,
     )
     return order_by(shares, ["-avg_prob"])
 

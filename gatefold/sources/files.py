@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .layers import layer_path, note, version_starts
+
 
 def _with_lineage(df: DataFrame) -> DataFrame:
     return df.select(
@@ -44,7 +46,27 @@ def stream_json(
     return _with_lineage(df) if lineage else df
 
 
-def stream_table(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
-    """A stored table as a stream of its appended files; existing rows come first."""
-    schema = schema or spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(path)
+def stream_table(
+    spark: SparkSession, base: str, layer: str, name: str, checkpoint: str,
+    schema: str | StructType | None = None,
+) -> DataFrame:
+    """A stored table as a stream: the rows of its first run, then whatever is appended.
+
+    A later overwrite does not disturb the stream: the rewritten rows are skipped, and what is
+    appended to the new version is read. The version of the first run is noted beside the
+    checkpoint; a file belongs to a rewrite if it is no younger than the version's marker.
+    """
+    starts = version_starts(spark, base, layer, name)
+    if not starts:
+        raise FileNotFoundError(f"no finished version of {layer}.{name} under {base}")
+    first = int(note(spark, f"{checkpoint.rstrip('/')}-{layer}-{name}-start", str(max(starts))))
+    folder = layer_path(base, layer, name)
+    schema = schema or spark.read.parquet(f"{folder}/v{max(starts)}").schema
+    rows = spark.readStream.schema(schema).parquet(f"{folder}/v[0-9]*")
+    path, born = F.col("_metadata.file_path"), F.unix_millis("_metadata.file_modification_time")
+    version = F.regexp_extract(path, r"/v(\d+)/[^/]*$", 1).cast("int")
+    wanted = version == first
+    for number, published in starts.items():
+        if number > first:
+            wanted = wanted | ((version == number) & (born > published))
+    return rows.where(wanted)

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_UNMARKED = ("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+
+
 def layer_path(base: str, layer: str, name: str) -> str:
     return f"{base.rstrip('/')}/{layer}/{name}"
 
@@ -42,8 +45,53 @@ def table_path(spark: SparkSession, base: str, layer: str, name: str) -> str:
 
 
 def read_layer(spark: SparkSession, base: str, layer: str, name: str) -> DataFrame:
-    """Scan the current version of a stored table."""
-    return spark.read.parquet(table_path(spark, base, layer, name))
+    """The current version of a stored table; a bucketed one is opened with its buckets."""
+    path = table_path(spark, base, layer, name)
+    spec = _bucket_spec(spark, path)
+    return spark.read.parquet(path) if spec is None else _bucketed(spark, path, *spec)
+
+
+def _markers(spark: SparkSession, path: str, pattern: str) -> list[tuple[str, ...]]:
+    """Groups of the marker files of a version folder that match; readers of the data skip them."""
+    fs, jpath = _fs(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(jpath)] if fs.exists(jpath) else []
+    return [hit.groups() for n in names if (hit := re.fullmatch(pattern, n))]
+
+
+def _mark(spark: SparkSession, path: str, name: str) -> None:
+    fs, marker = _fs(spark, f"{path}/{name}")
+    fs.create(marker, True).close()
+
+
+def _bucket_spec(spark: SparkSession, path: str) -> tuple[int, str] | None:
+    found = _markers(spark, path, r"_buckets-(\d+)-(.+)")
+    return (int(found[0][0]), found[0][1]) if found else None
+
+
+_OPENED: dict[tuple[str, str], str] = {}
+
+
+def _bucketed(spark: SparkSession, path: str, buckets: int, column: str) -> DataFrame:
+    """Stored buckets as a catalog table, registered once per application and folder."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _OPENED:
+        table = f"buckets_{uuid.uuid4().hex[:12]}"
+        columns = ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields
+        )
+        spark.sql(
+            f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (`{column}`) "
+            f"SORTED BY (`{column}`) INTO {buckets} BUCKETS LOCATION '{path}'"
+        )
+        _OPENED[key] = table
+    return spark.table(_OPENED[key])
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    """Drop the catalog entry of a version folder (its files stay)."""
+    table = _OPENED.pop((spark.sparkContext.applicationId, path), None)
+    if table:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
 def _publish(spark: SparkSession, target: str) -> None:
@@ -57,9 +105,8 @@ def _write_version(
 ) -> DataFrame:
     """Write an unpublished version (no success marker) and read it back."""
     spark = df.sparkSession
-    unmarked = ("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
     if bucket_by is None:
-        df.write.mode("overwrite").option(*unmarked).parquet(target)
+        df.write.mode("overwrite").option(*_UNMARKED).parquet(target)
         return spark.read.parquet(target)
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"{label}_{uuid.uuid4().hex[:12]}"
@@ -69,10 +116,12 @@ def _write_version(
         .format("parquet")
         .bucketBy(n, bucket_by)
         .sortBy(bucket_by)
-        .option(*unmarked)
+        .option(*_UNMARKED)
         .option("path", target)
         .saveAsTable(table)
     )
+    _mark(spark, target, f"_buckets-{n}-{bucket_by}")
+    _OPENED[(spark.sparkContext.applicationId, target)] = table
     return spark.table(table)
 
 
@@ -94,9 +143,10 @@ def write_layer(
 
     ``overwrite`` writes a new version folder and replaces data and schema; readers of the
     old version, including ``df`` itself, are not disturbed, and a failed write leaves the
-    old version current. ``append`` adds files to the current version. With ``bucket_by``
-    the rows are stored in hash buckets of that (unique) key, so later joins and
-    aggregations on it need no shuffle.
+    old version current. ``append`` adds files to the current version; bucketed and keyed tables
+    refuse it, since plain files would break their buckets and nothing would check their keys.
+    With ``bucket_by`` the rows are stored in hash buckets of that (unique) key, so later joins
+    and aggregations on it need no shuffle.
     """
     spark = df.sparkSession
     path = layer_path(base, layer, name)
@@ -104,7 +154,10 @@ def write_layer(
         raise ValueError(f"unknown mode {mode!r}")
     if mode == "append" and _versions(spark, path):
         target = table_path(spark, base, layer, name)
-        df.write.mode("append").parquet(target)
+        if _bucket_spec(spark, target) or _markers(spark, target, r"_keys-(.+)"):
+            raise ValueError(f"{layer}.{name} is bucketed or keyed: write a new version instead")
+        # the marker keeps the time at which the version was published
+        df.write.mode("append").option(*_UNMARKED).parquet(target)
         return spark.read.parquet(target)
     target = _next_version(spark, path)
     written = _write_version(df, target, f"{layer}_{name}", bucket_by, buckets)
@@ -144,6 +197,26 @@ def write_keyed(
     written = _write_version(df, target, f"{layer}_{name}", bucket_by, buckets)
     bad = key_violations(written, keys).limit(3).collect()
     if bad:
+        _forget(spark, target)
         raise KeyViolation(f"{layer}.{name}: NULL or repeated key, for example {bad}")
+    _mark(spark, target, "_keys-" + "-".join(keys))
     _publish(spark, target)
     return written
+
+
+def version_starts(spark: SparkSession, base: str, layer: str, name: str) -> dict[int, int]:
+    """Finished versions, and when each was published (milliseconds)."""
+    path = layer_path(base, layer, name)
+    found = {}
+    for number in _versions(spark, path):
+        fs, marker = _fs(spark, f"{path}/v{number}/_SUCCESS")
+        found[number] = fs.getFileStatus(marker).getModificationTime()
+    return found
+
+
+def note(spark: SparkSession, path: str, text: str | None = None) -> str | None:
+    """Read a one-line file, or write it first if it is not there and a text is given."""
+    fs, jpath = _fs(spark, path)
+    if text is not None and not fs.exists(jpath):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    return spark.read.text(path).first().value if fs.exists(jpath) else None

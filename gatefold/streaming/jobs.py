@@ -46,14 +46,33 @@ def ingest_stream(
 def silver_stream(
     seed: DataFrame,
     new: DataFrame,
-    enrich: Callable[[DataFrame], DataFrame],
+    enrich: Callable[[DataFrame], DataFrame] | tuple[Callable, Callable],
     rules: Rules,
     out: str,
     checkpoint: str,
+    warn: Rules | None = None,
+    warn_out: str | None = None,
 ) -> None:
-    """Two sources, one enrichment, hard rules, one table."""
-    both = union_sources(enrich(seed), enrich(new))
-    run_stream(expect_or_drop(both, rules), out, checkpoint)
+    """Two sources, one enrichment each, hard rules, one table.
+
+    With ``warn`` the violations of those rules among the kept rows are counted per batch into
+    ``warn_out``; a replayed batch overwrites its own folders.
+    """
+    first, second = enrich if isinstance(enrich, tuple) else (enrich, enrich)
+    kept = expect_or_drop(union_sources(first(seed), second(new)), rules)
+    if warn is None:
+        run_stream(kept, out, checkpoint)
+        return
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+            dq_report(batch, warn).write.mode("overwrite").parquet(f"{warn_out}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    _run_batches(kept, write, checkpoint)
 
 
 def quarantine_stream(
@@ -73,9 +92,13 @@ def split_stream(stream: DataFrame, rules: Rules, good_out: str, bad_out: str, c
     """One reader, two tables. A replayed batch overwrites its own folder, so both stay exact."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split(batch, rules)
-        good.write.mode("overwrite").parquet(f"{good_out}/batch_id={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{bad_out}/batch_id={batch_id}")
+        batch = batch.persist()
+        try:
+            good, bad = split(batch, rules)
+            good.write.mode("overwrite").parquet(f"{good_out}/batch_id={batch_id}")
+            bad.write.mode("overwrite").parquet(f"{bad_out}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     _run_batches(stream, write, checkpoint)
 

@@ -107,3 +107,40 @@ def test_churn_model_learns_and_scores(spark, blobs):
     assert metrics.auc(joined, "churn_flag", "churn_probability").first().auc > 0.99
     weights = churn.importances(model, spark, ["a", "b", "flat"]).collect()
     assert weights[-1].importance == 0.0 and sum(r.importance for r in weights) == pytest.approx(1)
+
+
+def test_boosting_keeps_the_best_prefix_with_patience():
+    falling = [1.0 - 0.01 * i for i in range(30)]
+    assert churn.best_round(falling + [0.9] * 19, 20) == (30, False)
+    assert churn.best_round(falling + [0.9] * 20, 20) == (30, True)
+    assert churn.best_round(falling + [0.9] * 20 + [0.0], 20) == (30, True)
+    assert churn.best_round([0.5], 20) == (1, False)
+
+
+def test_noisy_data_takes_many_trees(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(1500):
+        x = [rng.random() for _ in range(5)]
+        p = 1 / (1 + math.exp(-(3 * x[0] + 3 * x[1] * x[2] - 2 * x[3] - 1.4)))
+        rows.append((f"c{i}", *x, int(rng.random() < p)))
+    cols = [f"x{k}" for k in range(5)]
+    df = spark.createDataFrame(rows, "customer_id string, " + ", ".join(f"{c} double" for c in cols) + ", churn_flag int")
+    marked = churn.stratified_split(df, "churn_flag", "customer_id")
+    train, test = marked.filter("NOT is_test"), marked.filter("is_test")
+    inner = churn.stratified_split(train, "churn_flag", "customer_id", seed=43, name="is_valid")
+
+    def auc(rounds):
+        model = churn.fit_churn(inner.filter("NOT is_valid"), inner.filter("is_valid"), cols, rounds=rounds, rate=0.1, patience=5)
+        scored = churn.score_churn(model, test, cols).join(test.select("customer_id", "churn_flag"), "customer_id")
+        return model.stages[-1].getNumTrees, metrics.auc(scored, "churn_flag", "churn_probability").first().auc
+
+    (one, alone), (many, together) = auc(1), auc(60)
+    assert one == 1 < many and together > alone
+
+
+def test_split_of_very_many_classes(spark):
+    rows = [(f"{label}-{i}", label) for label in range(150) for i in range(5)]
+    df = spark.createDataFrame(rows, "k string, y int")
+    got = churn.stratified_split(df, "y", "k").filter("is_test").groupBy("y").count().collect()
+    assert len(got) == 150 and all(r["count"] == 1 for r in got)

@@ -38,7 +38,7 @@ def skewed(spark):
 def test_running_sum_and_moving_average(spark, values, width):
     rows = [(3 * i + 1, v) for i, v in enumerate(values)]
     df = spark.createDataFrame(rows, "n int, v int").repartition(3)
-    sums = {r.n: r.s for r in w.running_sum(df, "v", "n", "s", width=width).collect()}
+    sums = {r.n: r.s for r in w.running_sum(df, "v", "n", "s", slices=width).collect()}
     means = {r.n: r.m for r in w.moving_avg(df, "v", "n", "m", 3, width=width).collect()}
     assert len(sums) == len(means) == len(rows)
     for i, (n, _) in enumerate(rows):
@@ -59,7 +59,7 @@ def test_moving_average_with_slices_shorter_than_the_frame(spark):
 def test_running_sum_within_groups_including_null_group(spark):
     rows = [("a", 1, 1), ("a", 5, 2), (None, 1, 10), (None, 9, 20), ("b", 3, 5)]
     df = spark.createDataFrame(rows, "k string, n int, v int")
-    got = {(r.k, r.n): r.s for r in w.running_sum(df, "v", "n", "s", by=["k"], width=4).collect()}
+    got = {(r.k, r.n): r.s for r in w.running_sum(df, "v", "n", "s", by=["k"], slices=4).collect()}
     assert got == {("a", 1): 1, ("a", 5): 3, (None, 1): 10, (None, 9): 30, ("b", 3): 5}
 
 
@@ -156,7 +156,7 @@ def test_nth_visit_against_brute_force(spark, skewed):
 @pytest.mark.parametrize("many", [False, True])
 def test_shares(spark, skewed, many):
     rows, df = skewed
-    share = w.share_of_total(df, ["k"], F.count(F.lit(1)), "pct", many_groups=many)
+    share = w.share_of_total(df, ["k"], F.count(F.lit(1)), "pct", few_groups=not many)
     got = {r.k: r.pct for r in share.collect()}
     counts = Counter(k for _, k, _, _ in rows)
     for k, n in counts.items():
@@ -194,3 +194,24 @@ def test_joins_keep_and_default(spark):
     assert {r.top for r in valued.collect()} == {1}
     index = j.index_against_mean(spark.createDataFrame([(1.0,), (3.0,), (None,)], "x double"), "x", "i")
     assert sorted(r.i for r in index.collect()) == [0.0, 0.75, 2.25]
+
+
+def test_sparse_keys_and_groups_need_no_single_task(spark):
+    rng = random.Random(4)
+    keys = sorted(rng.sample(range(10**9), 600))
+    rows = [("hot" if i % 3 else "b", k, float(i % 11)) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "k string, n long, v double").repartition(3)
+    out = w.moving_avg(w.running_sum(df, "v", "n", "s", by=["k"]), "v", "n", "m", 3, by=["k"])
+    got = {(r.k, r.n): (r.s, r.m) for r in out.collect()}
+    for name in ("hot", "b"):
+        mine = [(n, v) for k, n, v in rows if k == name]
+        for i, (n, _) in enumerate(mine):
+            last = [v for _, v in mine[max(0, i - 2) : i + 1]]
+            assert got[name, n] == (pytest.approx(sum(v for _, v in mine[: i + 1])), pytest.approx(sum(last) / len(last)))
+
+
+@pytest.mark.parametrize("values,mean", [([1e-9, 3e-9], 2e-9), ([1e17, 2e17], 1.5e17), ([float("nan"), 1.0], None)])
+def test_means_of_any_size(spark, values, mean):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = summary_stats(df, ["x"]).first().mean
+    assert got != got if mean is None else got == pytest.approx(mean)

@@ -2,6 +2,7 @@
 
 import math
 import os
+import re
 
 import pytest
 
@@ -35,10 +36,9 @@ def shown(row):
 
 def test_every_key_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
-    assert {n for n in QUERIES if n not in ORACLE} == {
-        "ml_elbow", "ml_kmeans_fit", "ml_segment_table", "ml_churn_fit", "ml_churn_score",
-        "ml_feature_importance", "topk_list",
-    }
+    # the optional training-data operators have tests of their own where SQL cannot restate them
+    optional = [n for n in QUERIES if n == "pipeline" or re.match(r"op\d+_", n)]
+    assert set(QUERIES) - set(optional) <= set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

@@ -98,7 +98,7 @@ def test_union_quarantine_split_and_metrics(spark, tmp_path):
 
     def streams():
         return (
-            stream_table(spark, f"{base}/bronze/seed/v1"),
+            stream_table(spark, base, "bronze", "seed", f"{base}/c1"),
             stream_json(spark, str(landing), SCHEMA, lineage=False),
         )
 
@@ -119,3 +119,68 @@ def test_union_quarantine_split_and_metrics(spark, tmp_path):
     assert metrics == {"ticket_id_not_null": (4, 1), "price_positive": (4, 2)}
     batch = spark.read.schema(SCHEMA).json(str(landing))
     assert expect_or_drop(batch, RULES).count() == spark.read.parquet(f"{base}/g").count()
+
+
+def test_table_stream_skips_a_rewrite_and_reads_later_appends(spark, tmp_path):
+    base = str(tmp_path)
+    rows = spark.range(5).withColumnRenamed("id", "a")
+
+    def run():
+        jobs.run_stream(stream_table(spark, base, "bronze", "t", f"{base}/c"), f"{base}/out", f"{base}/c")
+        return sorted(r.a for r in spark.read.parquet(f"{base}/out").collect())
+
+    write_layer(rows, base, "bronze", "t", mode="append")
+    assert run() == [0, 1, 2, 3, 4]
+    write_layer(rows.where("a < 3"), base, "bronze", "t")
+    assert run() == [0, 1, 2, 3, 4]
+    write_layer(rows.where("a = 4").selectExpr("a + 10 as a"), base, "bronze", "t", mode="append")
+    assert run() == [0, 1, 2, 3, 4, 14] == run()
+    fresh = stream_table(spark, base, "bronze", "t", f"{base}/d")
+    jobs.run_stream(fresh, f"{base}/out2", f"{base}/d")
+    assert sorted(r.a for r in spark.read.parquet(f"{base}/out2").collect()) == [0, 1, 2, 14]
+
+
+def test_buckets_survive_reopening_and_refuse_appends(spark, tmp_path):
+    from gatefold.sources import layers
+
+    base = str(tmp_path)
+    rows = spark.range(40).selectExpr("id as k", "id % 7 as v")
+    write_layer(rows, base, "gold", "b", bucket_by="k", buckets=4)
+    layers._OPENED.clear()  # as another session would see it
+    again = read_layer(spark, base, "gold", "b")
+    assert again.count() == 40
+    plan = again.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    with pytest.raises(ValueError):
+        write_layer(rows, base, "gold", "b", mode="append")
+    write_keyed(rows, base, "gold", "f", ["k"])
+    with pytest.raises(ValueError):
+        write_layer(rows, base, "gold", "f", mode="append")
+
+
+def test_expectations_ride_along_a_stream(spark, tmp_path):
+    from gatefold.operators.quality import expect
+
+    landing = tmp_path / "in"
+    drop(landing, "1.json", {"ticket_id": "a", "ticket_price": 2.0}, {"ticket_id": None, "ticket_price": -1.0})
+    stream = stream_json(spark, str(landing), SCHEMA, lineage=False)
+    with pytest.raises(ValueError):
+        expect(stream, RULES)
+    watched, _ = expect(stream, RULES, "w")
+    query = (
+        watched.writeStream.format("parquet").option("path", str(tmp_path / "o"))
+        .option("checkpointLocation", str(tmp_path / "k")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    seen = [p.observedMetrics["w"] for p in query.recentProgress if "w" in p.observedMetrics]
+    assert [(s.rows_seen, s.ticket_id_not_null, s.price_positive) for s in seen] == [(2, 1, 1)]
+
+
+def test_stored_tables_follow_their_source(spark, tmp_path):
+    from gatefold.plans.stored import source_state
+
+    (tmp_path / "t.parquet").write_text("x")
+    first = source_state(spark, str(tmp_path))
+    assert first == source_state(spark, str(tmp_path))
+    (tmp_path / "u.parquet").write_text("y")
+    assert first != source_state(spark, str(tmp_path))
