@@ -23,7 +23,7 @@ from .registry import query
 
 @query("agg_customer_tickets", "SELECT * FROM ticket_agg")
 def _(t):
-    return g.agg_customer(t("fact_tickets"), roles.AS_OF)
+    return g.agg_customer(t("fact_tickets"), roles.AS_OF, events=t("dim_game"))
 
 
 @query("agg_customer_promo", "SELECT * FROM promo_agg")

@@ -34,7 +34,7 @@ def _(t):
 
 @query("mart_customer_360", Q.format("customer_360"))
 def _(t):
-    return gold.customer_360(t("dim_customer"), t("fact_tickets"), t("bridge_promo"), roles.AS_OF)
+    return gold.customer_360(t("dim_customer"), t("fact_tickets"), t("bridge_promo"), roles.AS_OF, events=t("dim_game"))
 
 
 @query("mart_game_revenue", Q.format("game_revenue"))

@@ -7,9 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.aggregates import any_flag, any_flag_nullable, count_where, mean_of, rate
+from ..functions.aggregates import any_flag, any_flag_nullable, count_where, mean_of
 from ..functions.expressions import days_between, round_to
-from .joins import left_agg_join
 
 
 def mode_by(df: DataFrame, by: Sequence[str], col: str, name: str) -> DataFrame:
@@ -37,34 +36,76 @@ def distinct_count_by(df: DataFrame, by: str, col: str, name: str) -> DataFrame:
     return pairs.groupBy(by).agg(F.count(col).alias(name))
 
 
-def agg_customer(fact: DataFrame, as_of: Column | str, key: str = "customer_id") -> DataFrame:
-    """Ticket behaviour per customer (18 measures)."""
+def agg_customer(
+    fact: DataFrame, as_of: Column | str, key: str = "customer_id", events: DataFrame | None = None
+) -> DataFrame:
+    """Ticket behaviour per customer (18 measures) from one pass over the fact.
+
+    Tickets are first reduced to (customer, event, channel, section) cells with additive measures,
+    map-side. The cells are dealt out by customer once; the first cell of an event or channel and
+    the commonest section are then marked inside that partitioning, so distinct counts and the
+    mode become sums in the one aggregation that follows. With ``events`` the phase is that of the
+    event, joined to the cells, else the ticket's own.
+    """
     reference = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
-    phase_seen = {
-        f"{phase}_buyer": any_flag(F.col("season_phase") == phase)
-        for phase in ("hot_start", "slump", "late_push")
-    }
-    measures = fact.groupBy(key).agg(
-        round_to(F.sum("ticket_price"), 2).alias("total_spend"),
-        mean_of("ticket_price", 2).alias("avg_ticket_price"),
-        round_to(F.max("ticket_price"), 2).alias("max_ticket_price"),
-        F.count("ticket_id").alias("total_tickets"),
-        days_between(reference, F.max("game_date")).alias("days_since_last"),
-        count_where("is_promo_ticket").alias("promo_tickets"),
-        rate("is_promo_ticket").alias("promo_rate"),
-        count_where("is_advance_purchase").alias("advance_purchases"),
-        mean_of("days_before_game", 1).alias("avg_days_before_game"),
-        mean_of("seat_tier_rank", 2).alias("avg_seat_tier_rank"),
-        any_flag("is_jersey_night_game").alias("jersey_night_attendee"),
-        any_flag("is_lapsed_reactivation").alias("was_lapsed_reactivation"),
-        *[flag.alias(name) for name, flag in phase_seen.items()],
+    own_phase = ["season_phase"] if events is None else []
+    cells = fact.groupBy(key, "game_id", "purchase_channel", "section_tier", *own_phase).agg(
+        F.sum("ticket_price").alias("spend"), F.count("ticket_price").alias("priced"),
+        F.max("ticket_price").alias("top_price"), F.count("ticket_id").alias("tickets"),
+        F.count(F.lit(1)).alias("rows"), F.max("game_date").alias("last_date"),
+        count_where("is_promo_ticket").alias("promo"),
+        count_where("is_advance_purchase").alias("advance"),
+        F.sum("days_before_game").alias("lead_days"), F.count("days_before_game").alias("lead_rows"),
+        F.sum("seat_tier_rank").alias("ranks"), F.count("seat_tier_rank").alias("ranked"),
+        any_flag("is_jersey_night_game").alias("jersey"),
+        any_flag("is_lapsed_reactivation").alias("lapsed"),
+    )
+    if events is not None:
+        phases = events.select("game_id", "season_phase").dropDuplicates(["game_id"])
+        cells = cells.join(phases, "game_id", "left")
+    dealt = cells.repartition(key)
+    cell = ["game_id", "purchase_channel", "section_tier", "season_phase"]
+
+    def first(column: str) -> Column:
+        order = Window.partitionBy(key, column).orderBy(*[c for c in cell if c != column])
+        return (F.row_number().over(order) == 1) & F.col(column).isNotNull()
+
+    in_section = Window.partitionBy(key, "section_tier")
+    per_section = F.when(F.col("section_tier").isNotNull(), F.sum("rows").over(in_section))
+    commonest = Window.partitionBy(key).orderBy(
+        F.desc_nulls_last("section_rows"), "section_tier", "game_id", "purchase_channel", "season_phase"
+    )
+    marked = (
+        dealt.withColumns(
+            {"new_game": first("game_id"), "new_channel": first("purchase_channel"), "section_rows": per_section}
+        )
+        .withColumn("usual", F.row_number().over(commonest) == 1)
+    )
+
+    def ratio(total: str, count: str, digits: int) -> Column:
+        return round_to(F.sum(total).cast("double") / F.nullif(F.sum(count), F.lit(0)), digits)
+
+    return marked.groupBy(key).agg(
+        round_to(F.sum("spend"), 2).alias("total_spend"),
+        ratio("spend", "priced", 2).alias("avg_ticket_price"),
+        round_to(F.max("top_price"), 2).alias("max_ticket_price"),
+        F.sum("tickets").alias("total_tickets"),
+        days_between(reference, F.max("last_date")).alias("days_since_last"),
+        F.sum("promo").alias("promo_tickets"),
+        ratio("promo", "rows", 4).alias("promo_rate"),
+        F.sum("advance").alias("advance_purchases"),
+        ratio("lead_days", "lead_rows", 1).alias("avg_days_before_game"),
+        ratio("ranks", "ranked", 2).alias("avg_seat_tier_rank"),
+        F.bool_or("jersey").alias("jersey_night_attendee"),
+        F.bool_or("lapsed").alias("was_lapsed_reactivation"),
+        *[
+            any_flag(F.col("season_phase") == phase).alias(f"{phase}_buyer")
+            for phase in ("hot_start", "slump", "late_push")
+        ],
+        count_where("new_game").alias("games_attended"),
+        count_where("new_channel").alias("channels_used"),
+        F.max(F.when(F.col("usual"), F.col("section_tier"))).alias("preferred_section"),
     )
-    parts = [
-        distinct_count_by(fact, key, "game_id", "games_attended"),
-        distinct_count_by(fact, key, "purchase_channel", "channels_used"),
-        mode_by(fact, [key], "section_tier", "preferred_section"),
-    ]
-    return left_agg_join(measures, parts, key)
 
 
 def agg_customer_promo(promo: DataFrame, key: str = "customer_id") -> DataFrame:
@@ -77,23 +118,38 @@ def agg_customer_promo(promo: DataFrame, key: str = "customer_id") -> DataFrame:
 
 
 def agg_event(fact: DataFrame, key: str = "game_id", premium_rank: int = 4) -> DataFrame:
-    """Ticket sales per event (13 measures)."""
-    measures = fact.groupBy(key).agg(
-        round_to(F.sum("ticket_price"), 2).alias("gross_revenue"),
-        mean_of("ticket_price", 2).alias("avg_ticket_price"),
-        round_to(F.max("ticket_price"), 2).alias("max_ticket_price"),
-        round_to(F.min("ticket_price"), 2).alias("min_ticket_price"),
-        F.count("ticket_id").alias("tickets_sold"),
-        count_where("is_promo_ticket").alias("promo_tickets"),
-        rate("is_promo_ticket").alias("promo_rate"),
-        mean_of("days_before_game", 1).alias("avg_days_before_game"),
-        count_where("is_advance_purchase").alias("advance_purchase_count"),
-        any_flag("is_lapsed_reactivation").alias("had_lapsed_reactivation"),
-        count_where("is_lapsed_reactivation").alias("lapsed_reactivation_count"),
-        rate(F.col("seat_tier_rank") >= premium_rank).alias("premium_seat_rate"),
+    """Ticket sales per event (13 measures) from one pass: tickets are reduced to one row per event
+    and customer, whose number is the number of buyers."""
+    buyers = fact.groupBy(key, "customer_id").agg(
+        F.sum("ticket_price").alias("spend"), F.count("ticket_price").alias("priced"),
+        F.max("ticket_price").alias("top_price"), F.min("ticket_price").alias("low_price"),
+        F.count("ticket_id").alias("tickets"), F.count(F.lit(1)).alias("rows"),
+        count_where("is_promo_ticket").alias("promo"),
+        F.sum("days_before_game").alias("lead_days"), F.count("days_before_game").alias("lead_rows"),
+        count_where("is_advance_purchase").alias("advance"),
+        any_flag("is_lapsed_reactivation").alias("lapsed"),
+        count_where("is_lapsed_reactivation").alias("lapsed_rows"),
+        count_where(F.col("seat_tier_rank") >= premium_rank).alias("premium"),
+    )
+
+    def ratio(total: str, count: str, digits: int) -> Column:
+        return round_to(F.sum(total).cast("double") / F.nullif(F.sum(count), F.lit(0)), digits)
+
+    return buyers.groupBy(key).agg(
+        round_to(F.sum("spend"), 2).alias("gross_revenue"),
+        ratio("spend", "priced", 2).alias("avg_ticket_price"),
+        round_to(F.max("top_price"), 2).alias("max_ticket_price"),
+        round_to(F.min("low_price"), 2).alias("min_ticket_price"),
+        F.sum("tickets").alias("tickets_sold"),
+        F.sum("promo").alias("promo_tickets"),
+        ratio("promo", "rows", 4).alias("promo_rate"),
+        ratio("lead_days", "lead_rows", 1).alias("avg_days_before_game"),
+        F.sum("advance").alias("advance_purchase_count"),
+        F.bool_or("lapsed").alias("had_lapsed_reactivation"),
+        F.sum("lapsed_rows").alias("lapsed_reactivation_count"),
+        ratio("premium", "rows", 4).alias("premium_seat_rate"),
+        F.count("customer_id").alias("unique_buyers"),
     )
-    buyers = distinct_count_by(fact, key, "customer_id", "unique_buyers")
-    return left_agg_join(measures, [buyers], key)
 
 
 def agg_event_promo(promo: DataFrame, key: str = "game_id") -> DataFrame:

@@ -169,10 +169,13 @@ TABLES: dict[str, str] = {
                {R('avg(seat_tier_rank)', 2)} AS avg_seat_tier_rank,
                bool_or(coalesce(is_jersey_night_game, FALSE)) AS jersey_night_attendee,
                bool_or(coalesce(is_lapsed_reactivation, FALSE)) AS was_lapsed_reactivation,
-               bool_or(season_phase = 'hot_start') AS hot_start_buyer, bool_or(season_phase = 'slump') AS slump_buyer,
-               bool_or(season_phase = 'late_push') AS late_push_buyer,
+               bool_or(coalesce(event_phase = 'hot_start', FALSE)) AS hot_start_buyer,
+               bool_or(coalesce(event_phase = 'slump', FALSE)) AS slump_buyer,
+               bool_or(coalesce(event_phase = 'late_push', FALSE)) AS late_push_buyer,
                count(DISTINCT purchase_channel) AS channels_used, any_value(preferred_section) AS preferred_section
-        FROM fact_tickets LEFT JOIN mode_section USING (customer_id) GROUP BY customer_id""",
+        FROM fact_tickets LEFT JOIN mode_section USING (customer_id)
+             LEFT JOIN (SELECT game_id, season_phase AS event_phase FROM dim_game) USING (game_id)
+        GROUP BY customer_id""",
     "promo_agg": f"""
         SELECT customer_id, {R('sum(discount_amount)', 2)} AS total_discount_received,
                {R('avg(promo_impact_score)', 2)} AS avg_promo_impact_score,

@@ -40,15 +40,15 @@ def customer_360(
     promo: DataFrame,
     as_of: str | Column,
     churn_days: int = 45,
+    events: DataFrame | None = None,
 ) -> DataFrame:
     """One row per customer of the dimension, buyers or not.
 
-    The event phase is taken from the fact, which already carries it; no join to the event
-    dimension is needed.
+    The phase of a visit is that of the event in ``events``; without it, the ticket's own.
     """
     joined = left_agg_join(
         dim_c.select(*PROFILE_COLUMNS),
-        [agg_customer(fact, as_of), agg_customer_promo(promo)],
+        [agg_customer(fact, as_of, events=events), agg_customer_promo(promo)],
         "customer_id",
     )
     filled = fill_defaults(

@@ -59,7 +59,8 @@ def _quarantine(spark, sf):
 
 
 def _customer_360(spark, sf):
-    return gold.customer_360(*(stored(spark, sf, n) for n in ("dim_customer", "fact_tickets", "bridge_promo")), roles.AS_OF)
+    tables = [stored(spark, sf, n) for n in ("dim_customer", "fact_tickets", "bridge_promo")]
+    return gold.customer_360(*tables, roles.AS_OF, events=stored(spark, sf, "dim_game"))
 
 
 def _game_revenue(spark, sf):

@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from gatefold.plans import gold, silver
 
@@ -184,3 +185,26 @@ def test_hot_customer_and_hot_event(spark):
     assert (hot.total_spend, hot.total_tickets, hot.games_attended) == (600.0, 600, 1)
     events = by(agg_event(fact), "game_id")
     assert (events["g1"].tickets_sold, events["g1"].unique_buyers, events["g1"].gross_revenue) == (700, 101, 800.0)
+
+
+def test_customer_phases_follow_the_event(spark, world):
+    """A ticket whose own phase disagrees counts for the phase of its event."""
+    from gatefold.operators.grouping import agg_customer
+
+    events = world["dim_g"].withColumn("season_phase", F.lit("slump"))
+    plain, moved = (by(agg_customer(world["fact"], str(LAST), events=e), "customer_id") for e in (None, events))
+    assert set(plain) == set(moved)
+    known = {r.game_id for r in events.collect()}
+    for r in world["fact"].select("customer_id", "game_id").collect():
+        if r.game_id in known:
+            assert moved[r.customer_id].slump_buyer and not moved[r.customer_id].hot_start_buyer
+
+
+def test_customer_measures_need_one_scan_of_the_fact(spark, tmp_path, world):
+    from gatefold.operators.grouping import agg_customer, agg_event
+
+    world["fact"].write.parquet(f"{tmp_path}/fact")
+    fact = spark.read.parquet(f"{tmp_path}/fact")
+    for made in (agg_customer(fact, str(LAST)), agg_event(fact)):
+        shape = made._jdf.queryExecution().executedPlan().toString()
+        assert shape.count("FileScan") == 1 and shape.count("Exchange") <= 3
