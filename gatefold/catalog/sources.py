@@ -89,7 +89,7 @@ def _(t):
     ]
     for delivery in deliveries:
         _land(delivery, landing)
-        stream = stream_json(t.spark, landing, infer=True)
+        stream = stream_json(t.spark, landing, infer=True, schema_store=f"{root}/schema")
         jobs.run_stream(stream, out, checkpoint)
     merged = t.spark.read.option("mergeSchema", "true").parquet(out)
     return merged.select("customer_id", "full_name", "state")

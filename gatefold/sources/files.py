@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .layers import layer_path, note, version_starts
+from .layers import layer_path, note, overwrite_note, version_starts
 
 
 def _with_lineage(df: DataFrame) -> DataFrame:
@@ -18,9 +21,34 @@ def _with_lineage(df: DataFrame) -> DataFrame:
     )
 
 
-def inferred_schema(spark: SparkSession, path: str) -> StructType:
-    """Schema over all files dropped so far, new columns included."""
-    return spark.read.json(path).schema
+# Files this much older than the last look are looked at again, as clocks differ.
+_OVERLAP_S = 600
+
+
+def inferred_schema(spark: SparkSession, path: str, store: str | None = None) -> StructType:
+    """Schema over all files dropped so far, new columns included.
+
+    With ``store`` the schema is kept in that folder, and only files that came since are read: their
+    new columns are added, known ones keep their type.
+    """
+    if store is None:
+        return spark.read.json(path).schema
+    kept = note(spark, store)
+    now = spark.sql(f"SELECT date_format(now() - INTERVAL {_OVERLAP_S} SECONDS, \"yyyy-MM-dd'T'HH:mm:ss\") AS t").first().t
+    reader = spark.read
+    schema = StructType()
+    if kept is not None:
+        since, _, known = kept.partition(" ")
+        schema, reader = StructType.fromJson(json.loads(known)), reader.option("modifiedAfter", since)
+    try:
+        fresh = reader.json(path).schema
+    except AnalysisException:  # no file since
+        if kept is None:
+            raise
+        fresh = StructType()
+    merged = StructType([*schema.fields, *[f for f in fresh.fields if f.name not in schema.names]])
+    overwrite_note(spark, store, f"{now} {merged.json()}")
+    return merged
 
 
 def stream_json(
@@ -29,17 +57,18 @@ def stream_json(
     schema: str | StructType | None = None,
     lineage: bool = True,
     infer: bool = False,
+    schema_store: str | None = None,
     max_files: int | None = None,
 ) -> DataFrame:
     """JSON files of a landing folder as a stream; each file is read once per checkpoint.
 
     A value that does not fit the declared schema becomes NULL and its row is kept. With
     ``infer`` the schema is taken from the files present at start; restart the stream after
-    files with new columns arrive and the columns are added.
+    files with new columns arrive and the columns are added. ``schema_store`` keeps it between starts.
     """
     if (schema is None) != infer:
         raise ValueError("give a schema, or ask for infer=True")
-    reader = spark.readStream.schema(inferred_schema(spark, path) if infer else schema)
+    reader = spark.readStream.schema(inferred_schema(spark, path, schema_store) if infer else schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     df = reader.json(path)

@@ -218,5 +218,9 @@ def note(spark: SparkSession, path: str, text: str | None = None) -> str | None:
     """Read a one-line file, or write it first if it is not there and a text is given."""
     fs, jpath = _fs(spark, path)
     if text is not None and not fs.exists(jpath):
-        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+        overwrite_note(spark, path, text)
     return spark.read.text(path).first().value if fs.exists(jpath) else None
+
+
+def overwrite_note(spark: SparkSession, path: str, text: str) -> None:
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)

@@ -184,3 +184,18 @@ def test_stored_tables_follow_their_source(spark, tmp_path):
     assert first == source_state(spark, str(tmp_path))
     (tmp_path / "u.parquet").write_text("y")
     assert first != source_state(spark, str(tmp_path))
+
+
+def test_inferred_schema_is_kept_and_grows(spark, tmp_path):
+    from gatefold.sources.files import inferred_schema
+
+    landing, store = tmp_path / "in", str(tmp_path / "schema")
+    drop(landing, "1.json", {"a": 1})
+    assert inferred_schema(spark, str(landing), store).names == ["a"]
+    drop(landing, "2.json", {"b": "x", "a": 2})
+    assert inferred_schema(spark, str(landing), store).names == ["a", "b"]
+    import os
+
+    for name in ("1.json", "2.json"):
+        os.utime(landing / name, (1_000_000_000, 1_000_000_000))
+    assert inferred_schema(spark, str(landing), store).names == ["a", "b"]
