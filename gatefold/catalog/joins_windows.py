@@ -79,7 +79,8 @@ def _(t):
     fact = t("fact_tickets").select("game_id", "ticket_price")
     return j.fact_by_event(
         fact, t("dim_game"), "game_id", "season_phase",
-        [n_rows().alias("tickets"), round_to(F.sum("ticket_price"), 2).alias("revenue")],
+        [n_rows().alias("tickets"), F.sum("ticket_price").alias("revenue")],
+        [F.sum("tickets").alias("tickets"), round_to(F.sum("revenue"), 2).alias("revenue")],
     )
 
 

@@ -25,11 +25,14 @@ from .registry import query
 
 @query(
     "proj_clean_customer",
-    "SELECT customer_id, full_name, email, tenure_days, record_source FROM dim_customer WHERE record_source = 'seed'",
+    "SELECT customer_id, full_name, email, tenure_days, record_source FROM dim_customer",
 )
 def _(t):
-    cleaned = silver.clean_customer(t("raw_customers"), "seed", roles.AS_OF)
-    kept = cleaned.filter(F.col("email").isNotNull())
+    """Both sources, cleaned alike and labelled."""
+    cleaned = silver.clean_customer(t("raw_customers"), "seed", roles.AS_OF).unionByName(
+        silver.clean_customer(t("raw_customers_stream"), "simulator", roles.AS_OF)
+    )
+    kept = cleaned.filter(F.col("email").isNotNull() & F.col("customer_id").isNotNull())
     return kept.select("customer_id", "full_name", "email", "tenure_days", "record_source")
 
 

@@ -48,10 +48,15 @@ def star_join(base: DataFrame, tables: Sequence[DataFrame], key: str) -> DataFra
 
 
 def fact_by_event(
-    fact: DataFrame, events: DataFrame, key: str, by: str, aggs: Sequence[Column]
+    fact: DataFrame, events: DataFrame, key: str, by: str, partial: Sequence[Column],
+    aggs: Sequence[Column],
 ) -> DataFrame:
-    """Fact INNER JOIN event dimension, aggregated by an event attribute."""
-    return fact.join(events.select(key, by), key).groupBy(by).agg(*aggs)
+    """Fact INNER JOIN event dimension, aggregated by an event attribute.
+
+    ``partial`` reduces the fact to one row per event before the join, ``aggs`` combines those rows:
+    a hot event is summed map-side and never meets the dimension as raw rows.
+    """
+    return fact.groupBy(key).agg(*partial).join(events.select(key, by), key).groupBy(by).agg(*aggs)
 
 
 def fact_by_customer(
