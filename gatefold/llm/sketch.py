@@ -156,26 +156,35 @@ def edited_fingerprints(
     document, the smallest of their texts stands for the id. A row without id has no next
     document: its tail is cut and ``near_next`` is 0.
     """
-    own = fingerprints(docs, k, width, doc_id, text)
+    rows = picked(docs, doc_id=doc_id, text=text)
+    filled = F.coalesce("text", F.lit(""))
+    # Both joins below need the same three columns under a key that is never null, so the texts are
+    # shuffled once and that shuffle is used twice. A row without id has a key no id equals.
+    own = rows.select(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"), filled.alias("text"),
+        sketch(filled, k, width).alias("sketch"),
+    )
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
     # How many code points the row before may ask for; a narrow scan that makes no sketch.
-    asked = (
-        picked(docs, doc_id=doc_id, text=text)
-        .groupBy("doc_id")
-        .agg(F.max(F.floor(F.char_length(F.coalesce("text", F.lit(""))) / 4)).cast("int").alias("need"))
-    )
+    asked = rows.groupBy("doc_id").agg(F.max(F.floor(F.char_length(filled) / 4)).cast("int").alias("need"))
     needs = (
-        next_ids(own)
+        next_ids(rows)
         .join(asked, "doc_id")
-        .select(F.col("next_id"), F.col("doc_id").alias("prev_id"), "need")
+        .select(
+            F.coalesce(F.col("next_id").cast("string"), F.lit("")).alias("next_key"),
+            F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("prev_key"), "need",
+        )
     )
     tails = (
-        own.join(needs, own.doc_id == needs.next_id)
-        .select("prev_id", F.expr("left(text, need)").alias("head"), F.col("sketch").alias("next_sketch"))
-        .groupBy("prev_id")
+        own.join(needs, own.key == needs.next_key)
+        .select("prev_key", F.expr("left(text, need)").alias("head"), F.col("sketch").alias("next_sketch"))
+        .groupBy("prev_key")
         .agg(F.min(F.struct("head", "next_sketch")).alias("next"))
     )
-    joined = own.join(tails, own.doc_id == tails.prev_id, "left")
+    joined = own.join(tails, own.key == tails.prev_key, "left").select(
+        F.expr("try_cast(key AS BIGINT)").alias("doc_id"),
+        F.char_length("text").cast("long").alias("n_chars"), "text", "sketch", "next",
+    )
     edited = joined.withColumn(
         "edited",
         F.concat(
