@@ -42,7 +42,12 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdict on every line of every document."""
+    """Verdict on every line of every document, with the one-word bound that its check SQL states."""
+    return line_dedup.line_verdicts(table(spark, sf_dir, "documents"), words_per_edit=None)
+
+
+def op3_line_dedup_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every line of every document as in the pipeline: the bound grows with the line."""
     return line_dedup.line_verdicts(table(spark, sf_dir, "documents"))
 
 
@@ -116,7 +121,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_html_extraction, op2_mixing, op3_line_dedup, op4_packing, op5_ngram_trie, op6_fingerprints, op7_chat_formatting,
+        op1_html_extraction, op2_mixing, op3_line_dedup, op3_line_dedup_whole, op4_packing, op5_ngram_trie, op6_fingerprints, op7_chat_formatting,
         op8_minmax_near_dedup, op9_host_rules, op10_toxicity,
     )
 }

@@ -254,6 +254,37 @@ def test_lines_match_brute_force(spark):
     assert got == want and sum(k != v for k, v in want.items()) > 50
 
 
+def word_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        before, row[0] = row[0], i + 1
+        for k, y in enumerate(b):
+            before, row[k + 1] = row[k + 1], min(before + (x != y), row[k + 1] + 1, row[k] + 1)
+    return row[-1]
+
+
+def test_long_lines_with_several_edits(spark):
+    """Edits up to and beyond the bound, chains of edited copies, and a passage that unlike lines share."""
+    rng = random.Random(3)
+    passage = [f"p{i}" for i in range(20)]
+    lines = [[f"w{rng.randrange(400)}" for _ in range(n)] for n in (30, 31, 32, 33, 50, 50, 64, 130) for _ in range(2)]
+    lines += [passage + [f"w{rng.randrange(400)}" for _ in range(40)] for _ in range(5)]
+    for _ in range(60):
+        w = list(rng.choice(lines))
+        for _ in range(rng.randint(1, 5)):
+            at = rng.randrange(len(w))
+            rng.choice([lambda: w.insert(at, "new"), lambda: w.pop(at), lambda: w.__setitem__(at, "sub")])()
+        lines.append(w)
+    texts = [" ".join(w) for w in lines]
+    want = {}
+    for d, a in enumerate(lines):
+        near = (e for e in range(d) if word_distance(a, lines[e]) <= max(1, min(len(a), len(lines[e])) // 16))
+        want[d] = min(near, default=d)
+    got = {r.doc_id: r.first_doc_id for r in line_dedup.line_verdicts(made_up(spark, texts)).collect()}
+    assert got == want
+    assert sum(word_distance(lines[d], lines[e]) > 1 for d, e in want.items()) > 15
+
+
 # mixing ----------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("goal", [{"max_repeats": 3.0}, {"max_repeats": None, "target_entropy": 1.0}])
