@@ -285,6 +285,12 @@ def test_long_lines_with_several_edits(spark):
     assert sum(word_distance(lines[d], lines[e]) > 1 for d, e in want.items()) > 15
 
 
+def test_exact_copies_of_short_lines_go(spark):
+    texts = ["Les.\none two three four\n\n東京都", "Les.\n\n東京都\n  one  two three four", "one two three five\n \nLes"]
+    got = [r.text for r in line_dedup.dedup_lines(made_up(spark, texts)).orderBy("doc_id").collect()]
+    assert got == [texts[0], "", texts[2]]
+
+
 # mixing ----------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("goal", [{"max_repeats": 3.0}, {"max_repeats": None, "target_entropy": 1.0}])
