@@ -376,6 +376,14 @@ def test_frequent_words_are_spread_without_changing_scores(spark, documents):
         assert math.isclose(plain[r.doc_id], r.score, rel_tol=1e-9, abs_tol=1e-6)
 
 
+def test_the_query_scores_trigrams(spark, documents):
+    """The registered query's scores are those of order 3, longer contexts included."""
+    got = {r.doc_id: r.score for r in catalog.op5_ngram_trie(spark, SF).collect()}
+    model = ngram_trie.fit(documents.where(ngram_trie.fold(documents.doc_id) != 0), order=3)
+    want = {r.doc_id: r.score for r in ngram_trie.score(documents, model).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[d], want[d], abs_tol=1e-6) for d in want)
+
+
 # toxicity --------------------------------------------------------------------------------------
 
 def test_held_out_accuracy(spark):
