@@ -56,6 +56,14 @@ NOISE = frozenset(
     "teaser teasers trending popular outbrain taboola skip hidden copyright legal form search "
     "announcement disclaimer paywall feedback rating ratings toc".split()
 )
+# Those that also name the layout of a wrapper around the article; the first three only as a whole class or id.
+WHOLE = frozenset("hidden side form".split())
+LAYOUT = WHOLE | frozenset(
+    "nav navbar navigation menu menubar sidebar widget footer masthead topbar toolbar banner search modal "
+    "overlay skip toc".split()
+)
+# Kinds of furniture: layout can hold the article, matter such as comments or ads hardly, hidden never.
+LAYOUT_KIND, MATTER, HARD = 1, 2, 3
 NOISE_ROLES = frozenset(
     "navigation banner contentinfo complementary search menu menubar toolbar dialog alert alertdialog "
     "form".split()
@@ -75,13 +83,14 @@ _LINE = "\n"
 
 
 class Node:
-    """An element: tag, parent, generalised label, and whether it is page furniture."""
+    """An element: tag, parent, generalised label, its kind of furniture and whether it is taken as such."""
 
-    __slots__ = ("tag", "parent", "label", "noise", "heading", "own", "links", "order")
+    __slots__ = ("tag", "parent", "label", "kind", "hard", "noise", "heading", "order")
 
-    def __init__(self, tag, parent, label, noise, order):
-        self.tag, self.parent, self.label, self.noise = tag, parent, label, noise
-        self.heading, self.own, self.links, self.order = False, 0.0, 0, order
+    def __init__(self, tag, parent, label, kind, order):
+        self.tag, self.parent, self.label, self.kind, self.order = tag, parent, label, kind, order
+        self.hard = kind == HARD or (parent is not None and parent.hard)
+        self.noise, self.heading = False, False
 
     def path(self) -> str:
         labels, node = [], self
@@ -98,27 +107,41 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
-def _describe(tag: str, attrs: str) -> tuple[str, bool]:
-    """Label ``tag.class`` with numbers generalised, and whether the element is furniture."""
+def _kind_of(names: list[str]) -> int:
+    """Kind of furniture that class names and an id stand for, 0 for none."""
+    kind = 0
+    for name in names:
+        for w in _WORDS.findall(name):
+            w = w.lower()
+            if w in NOISE and (w not in WHOLE or w == name.lower()):
+                kind = max(kind, LAYOUT_KIND if w in LAYOUT else MATTER)
+    return kind
+
+
+def _describe(tag: str, attrs: str) -> tuple[str, int]:
+    """Label ``tag.class`` with numbers generalised, and the kind of furniture the element may be."""
+    by_tag = LAYOUT_KIND if tag == "form" else HARD if tag in NEVER else 0
     if not attrs or attrs == "/":
-        return tag, tag in NEVER
+        return tag, by_tag
     a = _attributes(attrs)
     classes = a.get("class", "").split()
     label = tag + "".join(f".{re.sub(r'[0-9]+', '#', c.lower())}" for c in sorted(classes)[:3])
-    noise = (
-        tag in NEVER
+    if (
+        by_tag == HARD
         or "hidden" in a
         or a.get("aria-hidden", "").lower() == "true"
         or a.get("role", "").lower() in NOISE_ROLES
-        or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", ""), re.I) is not None
-    )
-    if not noise and tag not in ("body", "html", "article", "main"):
-        names = classes + [a.get("id", "")]
-        noise = any(w.lower() in NOISE for n in names for w in _WORDS.findall(n))
-    elif not noise and tag == "article":
-        noise = any(w.lower() in {"comment", "comments", "reply", "ad", "teaser", "related"} for c in classes
-                    for w in _WORDS.findall(c))
-    return label, noise
+        or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", ""), re.I)
+    ):
+        return label, HARD
+    if tag not in ("body", "html", "article", "main"):
+        return label, max(by_tag, _kind_of([*classes, a.get("id", "")]))
+    if tag == "article" and any(
+        w.lower() in {"comment", "comments", "reply", "ad", "teaser", "related"} for c in classes
+        for w in _WORDS.findall(c)
+    ):
+        return label, MATTER
+    return label, 0
 
 
 class Page:
@@ -127,27 +150,84 @@ class Page:
     def __init__(self, source: str):
         self.blocks: list[tuple[str, Node, int]] = []
         self.nodes: list[Node] = []
+        self._pieces: list[tuple[list[tuple[str, Node, int]], Node]] = []
         self._parse(source)
+        self._settle()
 
     def _open(self, tag, parent, attrs) -> Node:
-        label, noise = _describe(tag, attrs)
-        node = Node(tag, parent, label, noise or (parent is not None and parent.noise), len(self.nodes))
+        node = Node(tag, parent, *_describe(tag, attrs), len(self.nodes))
         self.nodes.append(node)
         return node
 
+    def _settle(self) -> None:
+        """Decide what is furniture, now that the whole page is known, and put the blocks together.
+
+        Layout that holds most of the text is none. No layout covers an article or main, matter no main,
+        nor the only articles there are; if nothing is left, only hidden and never-article elements are
+        furniture.
+        """
+        held = [0] * len(self.nodes)
+        matter = [False] * len(self.nodes)
+        for node in self.nodes:
+            above = node.parent is not None and node.tag != "main" and matter[node.parent.order]
+            matter[node.order] = node.kind == MATTER or above
+        for pieces, _ in self._pieces:
+            for value, node, links in pieces:
+                if not matter[node.order]:
+                    held[node.order] += max(0, len(value.strip()) - 2 * links)
+        for node in reversed(self.nodes[1:]):
+            held[node.parent.order] += held[node.order]
+
+        def decide(article_in_matter: bool, soft: bool) -> None:
+            taken = [0] * len(self.nodes)
+            for node in self.nodes:
+                kind = node.kind
+                if kind < HARD and not soft or kind == LAYOUT_KIND and 2 * held[node.order] > held[0]:
+                    kind = 0
+                above = taken[node.parent.order] if node.parent is not None else 0
+                if above == LAYOUT_KIND and node.tag in ("article", "main") or above == MATTER and (
+                    node.tag == "main" or node.tag == "article" and article_in_matter
+                ):
+                    above = 0
+                taken[node.order] = HARD if node.hard else max(kind, above)
+                node.noise = taken[node.order] > 0
+
+        decide(False, True)
+        if not any(n.tag in ("article", "main") and not n.noise for n in self.nodes):
+            decide(True, True)
+        self._join()
+        if not self.containers():
+            decide(True, False)
+            self._join()
+
+    def _join(self) -> None:
+        """Lines of text outside furniture, and the elements with a heading."""
+        self.blocks = []
+        for node in self.nodes:
+            node.heading = False
+        for node in self.nodes:
+            if node.tag in ("h1", "h2") and not node.noise:
+                above = node
+                while above is not None and not above.heading:
+                    above.heading = True
+                    above = above.parent
+        for pieces, holder in self._pieces:
+            shown = [p for p in pieces if not p[1].noise]
+            line = _SPACE.sub(" ", "".join(p[0] for p in shown)).strip()
+            if line:
+                self.blocks.append((line, holder, sum(p[2] for p in shown)))
+
     def _parse(self, source: str) -> None:
-        root = Node("html", None, "html", False, 0)
+        root = Node("html", None, "html", 0, 0)
         self.nodes.append(root)
-        stack, text, links = [root], [], 0
+        stack, text = [root], []
         open_tags = {"html": 1}
 
         def flush():
-            nonlocal text, links
+            nonlocal text
             if text:
-                line = _SPACE.sub(" ", "".join(text)).strip()
-                if line:
-                    self.blocks.append((line, holder(), links))
-                text, links = [], 0
+                self._pieces.append((text, holder()))
+                text = []
 
         def holder():
             for node in reversed(stack):
@@ -164,13 +244,10 @@ class Page:
             return open_tags.get("a", 0) > 0
 
         def add(raw: str):
-            nonlocal links
-            if not raw or stack[-1].noise:
+            if not raw or stack[-1].hard:
                 return
             value = html.unescape(raw) if "&" in raw else raw
-            text.append(value)
-            if inside_link():
-                links += len(value.strip())
+            text.append((value, stack[-1], len(value.strip()) if inside_link() else 0))
 
         at, size = 0, len(source)
         while at < size:
@@ -244,9 +321,6 @@ class Page:
             if not attrs.rstrip().endswith("/") or tag not in ("svg", "path"):
                 stack.append(self._open(tag, stack[-1], attrs))
                 open_tags[tag] = open_tags.get(tag, 0) + 1
-                if tag in ("h1", "h2") and not stack[-1].noise:
-                    for node in stack:
-                        node.heading = True
         flush()
 
     def usable(self, node: Node, top: Node | None) -> bool:
@@ -255,9 +329,9 @@ class Page:
         A ``header`` element counts as article text only inside the container and with a heading.
         """
         inside = top is None
+        if node.noise:
+            return False
         while node is not None:
-            if node.noise:
-                return False
             if node.tag == "header" and not (node.heading and self._in_article(node)):
                 return False
             inside = inside or node is top
@@ -275,14 +349,17 @@ class Page:
 
     def containers(self) -> list[tuple[Node, float]]:
         """Containers with their scores: text outside links in full for the nearest container,
-        half for the next one up, so that the tightest element around the article wins."""
+        half for the next one up, so that the tightest element around the article wins. Where no
+        text is in a container, the page is one."""
         scores: dict[int, float] = {}
+        whole = 0.0
         for line, node, links in self.blocks:
             if not self.usable(node, None):
                 continue
             value = float(max(0, len(line) - 2 * links))
             if not value:
                 continue
+            whole += value
             share, near = 1.0, node
             while near is not None and share > 0.2:
                 if near.tag in CONTAINERS:
@@ -290,6 +367,8 @@ class Page:
                     share /= 2
                 near = near.parent
         found = []
+        if not scores and whole:
+            scores[0] = whole
         for order, value in scores.items():
             found.append((self._lifted(self.nodes[order]), value))
         merged: dict[int, float] = {}
@@ -393,7 +472,7 @@ def extract(
 ) -> DataFrame:
     """``page_id, url, text, n_chars, host, path, by_consensus`` for every page.
 
-    Null or empty html and pages without a container give an empty text. A null or unusual url has
+    Null or empty html and pages without text give an empty text. A null or unusual url has
     the empty host, whose pages vote together. Repeated rows vote and are returned each. Hosts are
     voted on with map-side sums, and the winners (one row per host) are stored before the join, so
     Spark knows their size when it chooses how to join; the pages are only scanned.

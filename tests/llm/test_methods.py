@@ -444,6 +444,24 @@ def test_articles_in_several_layouts(spark):
         assert r.text == want and r.n_chars == len(want) and r.by_consensus
 
 
+def test_wrappers_do_not_hide_the_article():
+    article = "<h1>Title</h1><p>A first paragraph of the article, long enough to count.</p><p>A second one.</p>"
+    want = "Title\nA first paragraph of the article, long enough to count.\nA second one."
+    for outer in ("<div class='overflow-hidden'>", "<div class='has-sidebar'>", "<div id='page' class='with-side-nav'>",
+                  "<form id=aspnetForm>", "<div class=sidebar-left><div class='nav-open form-page'>", "<div class=comments-open>"):
+        for inner in ("<article>", "<main>", "<div class=entry>"):
+            if "comments" in outer and "div" in inner:
+                continue
+            end = f"</{inner[1:].split()[0].rstrip('>')}>"
+            tail = "</form>" if "<form" in outer else "</div>" * outer.count("<div")
+            body = f"{outer}<div class=sidebar><p>Popular things</p></div>{inner}{article}{end}{tail}"
+            for source in (f"<body>{body}</body>", page(body)):
+                assert html_extract.Page(source).text(None)[0] == want, (outer, inner)
+    assert html_extract.Page("<div class=comments><p>All there is.</div>").text(None)[0] == "All there is."
+    hidden = "<p>Shown.<span class=hidden> not</span><b class=overflow-hidden> too</b></p><div style='display:none'><article>x</article></div>"
+    assert html_extract.Page(f"<body>{hidden}</body>").text(None)[0] == "Shown. too"
+
+
 def test_pages_of_the_table(spark):
     import html
     import re
