@@ -291,6 +291,13 @@ def test_exact_copies_of_short_lines_go(spark):
     assert got == [texts[0], "", texts[2]]
 
 
+def test_lines_are_cut_from_their_own_row(spark):
+    rows = [(1, "a b c d e"), (2, "a b c d e\nx"), (2, "only in this row\ny"), (None, "a b c d e\nz"), (None, "kept here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id or 9, r.text) for r in line_dedup.dedup_lines(docs).collect())
+    assert got == [(1, "a b c d e"), (2, "only in this row\ny"), (2, "x"), (9, "kept here"), (9, "z")]
+
+
 # mixing ----------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("goal", [{"max_repeats": 3.0}, {"max_repeats": None, "target_entropy": 1.0}])
