@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    bpe,
     chat,
     host_rules,
     html_extract,
@@ -120,11 +121,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model)
 
 
+def op13_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document by the last token of every prefix, and their decoded text."""
+    path = public_tokenizers.path(PACK_TOKENIZER)
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), path)
+    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return encoded.select(
+        "doc_id", "n_tokens", F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_mixing, op3_line_dedup, op3_line_dedup_whole, op4_packing, op5_ngram_trie, op6_fingerprints, op7_chat_formatting,
-        op8_minmax_near_dedup, op9_host_rules, op10_toxicity,
+        op8_minmax_near_dedup, op9_host_rules, op10_toxicity, op13_prefix_bpe,
     )
 }
 
