@@ -1,8 +1,8 @@
 """Equi-joins of the star schema.
 
-No broadcast hints: the optimizer and AQE broadcast a side only after checking its size.
+No broadcast hints on tables: the optimizer and AQE broadcast a side only after checking its size.
 Facts are reduced to the join key before they meet a dimension wherever the result allows
-it; where raw fact rows must be joined, AQE splits a hot key's partition.
+it; where raw fact rows must be joined, heavy keys are salted.
 """
 
 from __future__ import annotations
@@ -16,6 +16,48 @@ from pyspark.sql import functions as F
 from ..functions.expressions import round_to
 
 
+# A key is heavy above this share of all rows (so there are at most 10,000) and this many rows.
+HEAVY_SHARE = 1e-4
+HEAVY_ROWS = 10_000
+
+
+def salted_join(
+    fact: DataFrame,
+    dim: DataFrame,
+    on: Sequence[str],
+    spread: Sequence[str] | None = None,
+    how: str = "inner",
+    heavy_share: float = HEAVY_SHARE,
+    heavy_rows: int = HEAVY_ROWS,
+) -> DataFrame:
+    """``fact`` joined (inner or left) to ``dim`` on equal keys, heavy keys dealt over many tasks.
+
+    Keys are counted map-side first. A key above ``heavy_share`` of the rows and ``heavy_rows`` gets
+    a salt per that many rows: its fact rows are spread by a hash of ``spread`` (default: all columns),
+    only its dimension rows are repeated. The list of heavy keys has at most ``1 / heavy_share`` rows,
+    which bounds its broadcast. Null keys match nothing but are spread likewise in a left join.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"how must be inner or left, not {how!r}")
+    counts = fact.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+    share = counts.agg((F.sum("__n") * F.lit(heavy_share)).alias("__limit")).scalar()
+    limit = F.greatest(F.ceil(share), F.lit(heavy_rows).cast("long"))
+    heavy = counts.where(F.col("__n") > limit).select(
+        *[F.col(k).alias(f"__{k}") for k in on], F.ceil(F.col("__n") / limit).alias("__salts")
+    )
+
+    def with_salts(df: DataFrame) -> DataFrame:
+        same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in on]
+        salted = df.join(F.broadcast(heavy), same, "left").drop(*[f"__{k}" for k in on])
+        return salted.withColumn("__salts", F.coalesce("__salts", F.lit(1).cast("long")))
+
+    dealt = F.pmod(F.xxhash64(*(spread or fact.columns)), F.col("__salts"))
+    facts = with_salts(fact).withColumn("__salt", dealt).drop("__salts")
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("__salts") - 1))
+    dims = with_salts(dim).withColumn("__salt", copies).drop("__salts")
+    return facts.join(dims, [*on, "__salt"], how).drop("__salt")
+
+
 def left_agg_join(dim: DataFrame, aggs: Sequence[DataFrame], key: str) -> DataFrame:
     """Dimension LEFT JOIN pre-aggregated facts (one row per key each)."""
     return reduce(lambda left, right: left.join(right, key, "left"), aggs, dim)
@@ -26,7 +68,7 @@ def enrich(
 ) -> DataFrame:
     """Fact LEFT JOIN selected dimension columns, which get ``prefix`` to stay apart."""
     picked = dim.select(key, *[F.col(c).alias(prefix + c) for c in cols])
-    return fact.join(picked, key, "left")
+    return salted_join(fact, picked, [key], how="left")
 
 
 def cohort_join(timeline: DataFrame, second: DataFrame, dim: DataFrame, key: str) -> DataFrame:
@@ -64,7 +106,7 @@ def fact_by_customer(
 ) -> DataFrame:
     """Fact INNER JOIN customer attributes; ``cond`` is applied before the join."""
     kept = fact if cond is None else fact.filter(cond)
-    return kept.join(customers.select(key, *cols), key)
+    return salted_join(kept, customers.select(key, *cols), [key])
 
 
 def left_join_then_profile(
