@@ -18,6 +18,7 @@ from . import (
     mixing,
     ngram_trie,
     packing,
+    prefix_trie,
     sketch,
     toxicity,
 )
@@ -121,6 +122,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    nodes = prefix_trie.trie(table(spark, sf_dir, "conversations"))
+    return nodes.drop("turn_conv", "turn_pos")
+
+
 def op13_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the last token of every prefix, and their decoded text."""
     path = public_tokenizers.path(PACK_TOKENIZER)
@@ -136,7 +143,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_mixing, op3_line_dedup, op3_line_dedup_whole, op4_packing, op5_ngram_trie, op6_fingerprints, op7_chat_formatting,
-        op8_minmax_near_dedup, op9_host_rules, op10_toxicity, op13_prefix_bpe,
+        op8_minmax_near_dedup, op9_host_rules, op10_toxicity,
+        op11_prefix_trie, op13_prefix_bpe,
     )
 }
 

@@ -225,3 +225,47 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     {", ".join(f"round(rate_{r}, 6) AS host_rate_{r}" for r in RULES)}, host_failed
 FROM judged
 """
+
+
+def crc32(text: str) -> str:
+    """Unsigned CRC-32 of a text of ASCII characters, bit by bit."""
+    step = "CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
+    byte = f"list_reduce(range(8), lambda a, k: {step}, xor(c, b))"
+    codes = f"list_transform(string_split({text}, ''), lambda ch: ord(ch)::BIGINT)"
+    return f"xor(list_reduce({codes}, lambda c, b: {byte}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+ORACLE["op11_prefix_trie"] = f"""
+WITH own AS (
+    SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+        ORDER BY turn NULLS FIRST, role, text) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+),
+plan AS (SELECT conv_id, turns, {crc32("conv_id::VARCHAR")} % 9 AS h FROM own),
+rebuilt AS (
+    SELECT p.conv_id, list_concat(coalesce(b.turns, [])[1:h], p.turns[h + 1:]) AS turns
+    FROM plan p LEFT JOIN own b ON b.conv_id = p.conv_id - p.conv_id % 5
+),
+members AS (
+    SELECT conv_id, depth, turns[1:depth] AS run, len(turns) = depth AS ends
+    FROM rebuilt, unnest(range(0, len(turns) + 1)) d(depth)
+),
+nodes AS (
+    SELECT depth, run, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM members GROUP BY depth, run
+),
+below AS (
+    SELECT a.depth, a.run, count(*) FILTER (b.depth = a.depth + 1) AS n_children,
+        sum(CASE WHEN b.depth > 0 THEN (b.n_convs - 1) * strlen(b.run[b.depth].text) ELSE 0 END) AS saved_tokens
+    FROM nodes a JOIN nodes b ON b.run[1:a.depth] = a.run AND b.depth >= a.depth GROUP BY a.depth, a.run
+),
+leaves AS (
+    SELECT a.depth, a.run, count(*) AS n_leaves FROM below a
+    JOIN below b ON b.n_children = 0 AND b.run[1:a.depth] = a.run AND b.depth >= a.depth GROUP BY a.depth, a.run
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n_children, n_leaves,
+    saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below USING (depth, run) JOIN leaves USING (depth, run)
+LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.run = n.run[1:p.depth]
+"""
