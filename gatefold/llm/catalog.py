@@ -20,6 +20,7 @@ from . import (
     packing,
     prefix_trie,
     sketch,
+    structure_repair,
     toxicity,
 )
 from .oracle import ORACLE
@@ -128,6 +129,12 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nodes.drop("turn_conv", "turn_pos")
 
 
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired digest of every damaged conversation."""
+    rows = table(spark, sf_dir, "conversations")
+    return structure_repair.repair_report(rows, structure_repair.damage(rows))
+
+
 def op13_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the last token of every prefix, and their decoded text."""
     path = public_tokenizers.path(PACK_TOKENIZER)
@@ -144,7 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_html_extraction, op2_mixing, op3_line_dedup, op3_line_dedup_whole, op4_packing, op5_ngram_trie, op6_fingerprints, op7_chat_formatting,
         op8_minmax_near_dedup, op9_host_rules, op10_toxicity,
-        op11_prefix_trie, op13_prefix_bpe,
+        op11_prefix_trie, op12_structure_repair, op13_prefix_bpe,
     )
 }
 

@@ -269,3 +269,81 @@ SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n_children, n
 FROM nodes n JOIN below USING (depth, run) JOIN leaves USING (depth, run)
 LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.run = n.run[1:p.depth]
 """
+
+
+def _repair_step() -> str:
+    """Cheapest (price, audit, repaired rows) from each of four states: before a row, from behind it."""
+
+    def priced(price: str, letter: str, row: str, state: int) -> str:
+        return f"{{'c': {price} + p[{state}].c, 'a': '{letter}' || p[{state}].a, 'r': {row} || p[{state}].r}}"
+
+    own, said = "chr(10) || x.role || ':' || x.text", "chr(10) || '{0}:' || x.text"
+    keeps = {1: {"s": 2, "u": 3}, 2: {"u": 3}, 3: {"a": 4}, 4: {"u": 3}}
+    offers = {1: ("user", 3), 2: ("user", 3), 3: ("assistant", 4), 4: ("user", 3)}
+    used = []
+    for state in (1, 2, 3, 4):
+        role, following = offers[state]
+        ways = [priced("3", "D", "''", state)]
+        for initial, to in keeps[state].items():
+            kept = priced("x.cut", "K", own, to)
+            ways.append(f"CASE WHEN NOT x.must AND x.initial = '{initial}' THEN {kept} END")
+        ways.append(f"CASE WHEN NOT x.must THEN {priced('2 + x.cut', 'R', said.format(role), following)} END")
+        used.append(f"list_min([{', '.join(ways)}])")
+    put_in = []
+    for state in (1, 2, 3, 4):
+        (first, to), ways = offers[state], [f"m[{state}]"]
+        second, further = offers[to]
+        added = f"chr(10) || '{first}:'"
+        ways.append(f"{{'c': 2 + m[{to}].c, 'a': 'I' || m[{to}].a, 'r': {added} || m[{to}].r}}")
+        added += f" || chr(10) || '{second}:'"
+        ways.append(f"{{'c': 4 + m[{further}].c, 'a': 'II' || m[{further}].a, 'r': {added} || m[{further}].r}}")
+        put_in.append(f"list_min([{', '.join(ways)}])")
+    return f"list_transform([[{', '.join(used)}]], lambda m: [{', '.join(put_in)}])[1]"
+
+
+ORACLE["op12_structure_repair"] = f"""
+WITH given AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        {crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS code
+    FROM conversations
+),
+damaged AS (
+    SELECT conv_id, turn, unnest(range(CASE WHEN code = 3 THEN 2 ELSE 1 END)) AS copy,
+        CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+        CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM given WHERE code <> 0
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos,
+        CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS initial,
+        right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS final
+    FROM damaged
+),
+faulty AS (
+    SELECT *, final = '' AS blank, lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) AS before,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS again
+    FROM placed
+),
+judged AS (
+    SELECT *, blank OR again AS must,
+        CASE WHEN NOT blank AND NOT again AND final NOT IN ('.', '!', '?') THEN 1 ELSE 0 END::BIGINT AS cut
+    FROM faulty
+),
+counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+        sum(cut)::BIGINT AS truncated,
+        count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal,
+        list_reduce(
+            list({{'role': role, 'text': text, 'initial': initial, 'must': must, 'cut': cut}} ORDER BY pos DESC),
+            lambda p, x: {_repair_step()},
+            [{{'c': 0::BIGINT, 'a': '', 'r': ''}}, {{'c': 4, 'a': 'II', 'r': chr(10) || 'user:' || chr(10) || 'assistant:'}},
+             {{'c': 2, 'a': 'I', 'r': chr(10) || 'assistant:'}}, {{'c': 0, 'a': '', 'r': ''}}]
+        )[1] AS best
+    FROM judged GROUP BY conv_id
+)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost,
+    coalesce(best.a, '') AS audit, sha256(coalesce(substr(best.r, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM i.conv_id
+"""
