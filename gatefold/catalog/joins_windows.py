@@ -11,6 +11,10 @@ from ..operators import sets
 from ..operators import windows as w
 from ..oracle import rounded as R
 from ..plans.gold import LABEL_DEFAULTS
+from ..session import scratch_dir
+from ..sources.files import stream_table
+from ..sources.layers import append_delivery
+from ..streaming.jobs import union_streams
 from .registry import query
 
 
@@ -284,9 +288,19 @@ def _(t):
         UNION ALL SELECT customer_id, full_name, 'new' FROM raw_customers_stream""",
 )
 def _(t):
-    seed = t("raw_customers").select("customer_id", "full_name", F.lit("seed").alias("origin"))
-    new = t("raw_customers_stream").select(F.lit("new").alias("origin"), "full_name", "customer_id")
-    return sets.union_sources(seed, new)
+    """Sign-ups stream from the first run on; past customers join as a second source later."""
+    root = scratch_dir(t.spark, "union_streams")
+    tables = {"new": "raw_customers_stream", "seed": "raw_customers"}
+    half = F.xxhash64("customer_id", "full_name") >= 0
+    deliveries = [("new", half), ("seed", half), ("new", ~half), ("seed", ~half)]
+    known: list[str] = []
+    for name, part in deliveries:
+        rows = t(tables[name]).select("full_name", "customer_id").where(part)
+        append_delivery(rows, root, "bronze", name)
+        known += [name] if name not in known else []
+        sources = {n: stream_table(t.spark, root, "bronze", n) for n in known}
+        union_streams(sources, f"{root}/out", f"{root}/checkpoint")
+    return t.spark.read.parquet(f"{root}/out").select("customer_id", "full_name", F.col("source").alias("origin"))
 
 
 PROMO_RATE = "(SELECT count(*) FILTER (is_promo_ticket) * CAST(100 AS DOUBLE) / count(*) FROM fact_tickets WHERE season_phase = '{}')"

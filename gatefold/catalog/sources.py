@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from .. import roles
 from ..plans import silver
 from ..session import scratch_dir
-from ..sources.files import stream_json, stream_table
-from ..sources.layers import read_layer, write_keyed, write_layer
+from ..sources.files import stream_json
+from ..sources.layers import append_delivery, read_layer, rewrite_deliveries, write_keyed, write_layer
 from ..streaming import jobs
 from .quality import ACCEPTED, warn_sql
 from .registry import query
@@ -97,19 +97,21 @@ def _(t):
 
 @query("src_stream_table", f"SELECT {AS_DOUBLE} FROM raw_tickets_stream")
 def _(t):
-    """A first delivery, then the table is overwritten with itself, then a second delivery."""
+    """A first delivery, which is then rewritten by itself, and a second one."""
     root = scratch_dir(t.spark, "src_table_stream")
     first, second = _drops(t("raw_tickets_stream"))
 
     def run():
-        stream = stream_table(t.spark, root, "bronze", "tickets", f"{root}/checkpoint")
-        jobs.run_stream(stream, f"{root}/out", f"{root}/checkpoint")
+        jobs.run_from_tables(
+            t.spark, root, "bronze", ["tickets"],
+            lambda rows: jobs.run_stream(rows, f"{root}/out", f"{root}/checkpoint"), f"{root}/checkpoint",
+        )
 
-    write_layer(first, root, "bronze", "tickets", mode="append")
+    append_delivery(first, root, "bronze", "tickets")
     run()
-    write_layer(read_layer(t.spark, root, "bronze", "tickets"), root, "bronze", "tickets")
+    rewrite_deliveries(read_layer(t.spark, root, "bronze", "tickets"), root, "bronze", "tickets")
     run()
-    write_layer(second, root, "bronze", "tickets", mode="append")
+    append_delivery(second, root, "bronze", "tickets")
     run()
     return t.spark.read.parquet(f"{root}/out")
 
@@ -181,45 +183,68 @@ def _(t):
     return joined.groupBy(ratio.alias("times_seen")).agg(F.sum("expected").alias("n"))
 
 
-@query("stream_union_enrich", f"SELECT {AS_DOUBLE} FROM fact_tickets")
-def _(t):
-    """Past sales as a table stream and new drops as a second source, one silver table."""
+# Files of a table stream in one micro-batch.
+FILES_PER_BATCH = 6
+
+
+def _union_enriched(t):
+    """Past sales as a table stream and new drops as a second source; returns the job's folder."""
     root = scratch_dir(t.spark, "union_enrich")
     seats = {c: F.col(c).cast("string") for c in ("seat_row", "seat_number")}
-    write_layer(t("raw_tickets").withColumns(seats), root, "bronze", "raw_tickets")
-    for part in _drops(t("raw_tickets_stream")):
-        write_layer(part, root, "bronze", "raw_tickets_stream", mode="append")
+    append_delivery(t("raw_tickets").withColumns(seats), root, "bronze", "raw_tickets")
+
+    def enriched(seed, new):
         jobs.silver_stream(
-            stream_table(t.spark, root, "bronze", "raw_tickets", f"{root}/checkpoint"),
-            stream_table(t.spark, root, "bronze", "raw_tickets_stream", f"{root}/checkpoint"),
-            lambda df: silver.enrich_ticket(df, roles.TIER_RANKS),
-            silver.TICKET_DROP_RULES,
-            f"{root}/out",
-            f"{root}/checkpoint",
-            silver.warn_rules("fact_tickets", **ACCEPTED),
-            f"{root}/warned",
+            seed, new, lambda df: silver.enrich_ticket(df, roles.TIER_RANKS), silver.TICKET_DROP_RULES,
+            f"{root}/out", f"{root}/checkpoint", silver.warn_rules("fact_tickets", **ACCEPTED), f"{root}/warned",
         )
-    return t.spark.read.parquet(f"{root}/out").drop("batch_id")
+
+    for part in _drops(t("raw_tickets_stream")):
+        append_delivery(part, root, "bronze", "raw_tickets_stream")
+        jobs.run_from_tables(
+            t.spark, root, "bronze", ["raw_tickets", "raw_tickets_stream"], enriched, f"{root}/checkpoint",
+            max_files=FILES_PER_BATCH,
+        )
+    return root
+
+
+@query("stream_union_enrich", f"SELECT {AS_DOUBLE} FROM fact_tickets")
+def _(t):
+    """The ticket fact as a streaming table, its history taken in bounded batches."""
+    return t.spark.read.parquet(f"{_union_enriched(t)}/out").drop("batch_id")
+
+
+@query("stream_warn_tickets", warn_sql("fact_tickets", "fact_tickets"))
+def _(t):
+    """Warn counts of the streamed ticket fact, added up over its batches."""
+    return _warned(t, _union_enriched(t))
+
+
+def _warned(t, root):
+    return t.spark.read.parquet(f"{root}/warned").groupBy("rule").agg(
+        F.sum("total_rows").alias("total_rows"), F.sum("violations").alias("violations")
+    )
 
 
 def _customer_stream(t) -> str:
     """Seed customers as a table stream and sign-ups as a second one, in two deliveries."""
     root = scratch_dir(t.spark, "dim_customer")
-    write_layer(t("raw_customers"), root, "bronze", "raw_customers")
-    for part in _drops(t("raw_customers_stream")):
-        write_layer(part, root, "bronze", "raw_customers_stream", mode="append")
+    append_delivery(t("raw_customers"), root, "bronze", "raw_customers")
+    cleaned = tuple(
+        lambda df, label=label: silver.clean_customer(df, label, roles.AS_OF) for label in ("seed", "simulator")
+    )
+
+    def enriched(seed, new):
         jobs.silver_stream(
-            stream_table(t.spark, root, "bronze", "raw_customers", f"{root}/checkpoint"),
-            stream_table(t.spark, root, "bronze", "raw_customers_stream", f"{root}/checkpoint"),
-            (
-                lambda df: silver.clean_customer(df, "seed", roles.AS_OF),
-                lambda df: silver.clean_customer(df, "simulator", roles.AS_OF),
-            ),
-            silver.CUSTOMER_DROP_RULES,
-            f"{root}/out",
-            f"{root}/checkpoint",
-            silver.warn_rules("dim_customer", **ACCEPTED),
-            f"{root}/warned",
+            seed, new, cleaned, silver.CUSTOMER_DROP_RULES, f"{root}/out", f"{root}/checkpoint",
+            silver.warn_rules("dim_customer", **ACCEPTED), f"{root}/warned",
+        )
+
+    for part in _drops(t("raw_customers_stream")):
+        append_delivery(part, root, "bronze", "raw_customers_stream")
+        jobs.run_from_tables(
+            t.spark, root, "bronze", ["raw_customers", "raw_customers_stream"], enriched, f"{root}/checkpoint",
+            max_files=FILES_PER_BATCH,
         )
     return root
 
@@ -233,9 +258,7 @@ def _(t):
 @query("stream_warn_customer", warn_sql("dim_customer", "dim_customer"))
 def _(t):
     """Warn counts of the streamed customer dimension, added up over its batches."""
-    return t.spark.read.parquet(f"{_customer_stream(t)}/warned").groupBy("rule").agg(
-        F.sum("total_rows").alias("total_rows"), F.sum("violations").alias("violations")
-    )
+    return _warned(t, _customer_stream(t))
 
 
 @query("stream_quarantine", "SELECT * FROM quarantine_tickets")

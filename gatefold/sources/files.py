@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .layers import layer_path, note, overwrite_note, version_starts
+from .layers import DELIVERY, read_layer, table_name
+
+
+LEDGER = "path string, length long, schema string, n_columns int, looked_at timestamp"
 
 
 def _with_lineage(df: DataFrame) -> DataFrame:
@@ -21,33 +22,44 @@ def _with_lineage(df: DataFrame) -> DataFrame:
     )
 
 
-# Files this much older than the last look are looked at again, as clocks differ.
-_OVERLAP_S = 600
+def _kept(spark: SparkSession, store: str) -> DataFrame | None:
+    """The ledger of inspected files, None before the first look."""
+    try:
+        return spark.read.schema(LEDGER).parquet(store)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def inferred_schema(spark: SparkSession, path: str, store: str | None = None) -> StructType:
     """Schema over all files dropped so far, new columns included.
 
-    With ``store`` the schema is kept in that folder, and only files that came since are read: their
-    new columns are added, known ones keep their type.
+    With ``store`` a ledger of the files looked at (path, length) is kept in that folder, together with
+    the schema they gave. Only files that are not in it are read, whatever their age: their new columns
+    are added, known ones keep their type. A file that grew is looked at again.
     """
     if store is None:
         return spark.read.json(path).schema
-    kept = note(spark, store)
-    now = spark.sql(f"SELECT date_format(now() - INTERVAL {_OVERLAP_S} SECONDS, \"yyyy-MM-dd'T'HH:mm:ss\") AS t").first().t
-    reader = spark.read
-    schema = StructType()
-    if kept is not None:
-        since, _, known = kept.partition(" ")
-        schema, reader = StructType.fromJson(json.loads(known)), reader.option("modifiedAfter", since)
-    try:
-        fresh = reader.json(path).schema
-    except AnalysisException:  # no file since
-        if kept is None:
-            raise
-        fresh = StructType()
-    merged = StructType([*schema.fields, *[f for f in fresh.fields if f.name not in schema.names]])
-    overwrite_note(spark, store, f"{now} {merged.json()}")
+    ledger = _kept(spark, store)
+    listed = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    )
+    fresh, schema = listed, StructType()
+    if ledger is not None:
+        latest = ledger.agg(F.max_by("schema", F.struct("looked_at", "n_columns")).alias("s")).first().s
+        schema = StructType.fromDDL(latest) if latest else schema
+        fresh = listed.join(ledger.select("path", "length"), ["path", "length"], "left_anti")
+    new = fresh.collect()  # as long as the list of new files that the stream's source keeps anyway
+    if not new:
+        return schema
+    found = spark.read.json([r.path for r in new]).schema
+    merged = StructType([*schema.fields, *[f for f in found.fields if f.name not in schema.names]])
+    noted = spark.createDataFrame(new, "path string, length long").select(
+        "*", F.lit(merged.toDDL()).alias("schema"), F.lit(len(merged)).alias("n_columns"),
+        F.current_timestamp().alias("looked_at"),
+    )
+    noted.coalesce(1).write.mode("append").parquet(store)
     return merged
 
 
@@ -76,26 +88,27 @@ def stream_json(
 
 
 def stream_table(
-    spark: SparkSession, base: str, layer: str, name: str, checkpoint: str,
-    schema: str | StructType | None = None,
+    spark: SparkSession, base: str, layer: str, name: str, since: int = 0,
+    max_files: int | None = None, max_bytes: int | None = None,
 ) -> DataFrame:
-    """A stored table as a stream: the rows of its first run, then whatever is appended.
+    """A table of deliveries as a stream of its rows; each file is read once per checkpoint.
 
-    A later overwrite does not disturb the stream: the rewritten rows are skipped, and what is
-    appended to the new version is read. The version of the first run is noted beside the
-    checkpoint; a file belongs to a rewrite if it is no younger than the version's marker.
+    Rows of deliveries up to ``since`` are left out, so deliveries that were consumed and then
+    rewritten do not come again. ``max_files`` or ``max_bytes`` bound a micro-batch: a long history is
+    taken in steps. Give at most one of them.
     """
-    starts = version_starts(spark, base, layer, name)
-    if not starts:
-        raise FileNotFoundError(f"no finished version of {layer}.{name} under {base}")
-    first = int(note(spark, f"{checkpoint.rstrip('/')}-{layer}-{name}-start", str(max(starts))))
-    folder = layer_path(base, layer, name)
-    schema = schema or spark.read.parquet(f"{folder}/v{max(starts)}").schema
-    rows = spark.readStream.schema(schema).parquet(f"{folder}/v[0-9]*")
-    path, born = F.col("_metadata.file_path"), F.unix_millis("_metadata.file_modification_time")
-    version = F.regexp_extract(path, r"/v(\d+)/[^/]*$", 1).cast("int")
-    wanted = version == first
-    for number, published in starts.items():
-        if number > first:
-            wanted = wanted | ((version == number) & (born > published))
-    return rows.where(wanted)
+    if max_files and max_bytes:
+        raise ValueError("bound a batch by files or by bytes, not both")
+    schema = read_layer(spark, base, layer, name).schema
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    folder = _folder(spark, table_name(spark, base, layer, name))
+    return reader.parquet(folder).where(F.col(DELIVERY) > since).drop(DELIVERY)
+
+
+def _folder(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Location'")
+    return described.first().data_type

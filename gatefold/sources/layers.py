@@ -1,133 +1,70 @@
-"""Tables stored per layer (bronze / silver / gold) as parquet under one base folder."""
+"""Tables stored per layer (bronze / silver / gold) as Parquet tables of the Spark catalog.
+
+A base folder is a database with that location. Buckets and key contracts are kept by the catalog,
+appends are plain inserts, and tables that are streamed are cut into numbered deliveries.
+"""
 
 from __future__ import annotations
 
-import re
+import hashlib
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 
-_UNMARKED = ("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-
-
-def layer_path(base: str, layer: str, name: str) -> str:
-    return f"{base.rstrip('/')}/{layer}/{name}"
-
-
-def _fs(spark: SparkSession, path: str):
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), jpath
+DELIVERY = "delivery"
+_KEYS = "gatefold.keys"
+_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
-def _versions(spark: SparkSession, path: str, published: bool = True) -> list[int]:
-    """Version numbers; the marker is set after the last task has committed."""
-    fs, jpath = _fs(spark, path)
-    if not fs.exists(jpath):
-        return []
-    found = []
-    for status in fs.listStatus(jpath):
-        hit = re.fullmatch(r"v(\d+)", status.getPath().getName())
-        marker = f"{status.getPath().toString()}/_SUCCESS"
-        if hit and (not published or fs.exists(_fs(spark, marker)[1])):
-            found.append(int(hit.group(1)))
-    return sorted(found)
+def table_name(spark: SparkSession, base: str, layer: str, name: str) -> str:
+    """Catalog name of a stored table; its database is made on first use."""
+    base = base.rstrip("/")
+    database = f"gatefold_{hashlib.md5(base.encode()).hexdigest()[:12]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{base}'")
+    return f"{database}.{layer}_{name}"
 
 
-def table_path(spark: SparkSession, base: str, layer: str, name: str) -> str:
-    path = layer_path(base, layer, name)
-    versions = _versions(spark, path)
-    if not versions:
-        raise FileNotFoundError(f"no finished version of {layer}.{name} under {base}")
-    return f"{path}/v{versions[-1]}"
+def _existing(spark: SparkSession, base: str, layer: str, name: str) -> str:
+    table = table_name(spark, base, layer, name)
+    if not spark.catalog.tableExists(table):
+        raise FileNotFoundError(f"no table {layer}.{name} under {base}")
+    return table
 
 
 def read_layer(spark: SparkSession, base: str, layer: str, name: str) -> DataFrame:
-    """The current version of a stored table; a bucketed one is opened with its buckets."""
-    path = table_path(spark, base, layer, name)
-    spec = _bucket_spec(spark, path)
-    return spark.read.parquet(path) if spec is None else _bucketed(spark, path, *spec)
-
-
-def _markers(spark: SparkSession, path: str, pattern: str) -> list[tuple[str, ...]]:
-    """Groups of the marker files of a version folder that match; readers of the data skip them."""
-    fs, jpath = _fs(spark, path)
-    names = [s.getPath().getName() for s in fs.listStatus(jpath)] if fs.exists(jpath) else []
-    return [hit.groups() for n in names if (hit := re.fullmatch(pattern, n))]
-
-
-def _mark(spark: SparkSession, path: str, name: str) -> None:
-    fs, marker = _fs(spark, f"{path}/{name}")
-    fs.create(marker, True).close()
-
-
-def _bucket_spec(spark: SparkSession, path: str) -> tuple[int, str] | None:
-    found = _markers(spark, path, r"_buckets-(\d+)-(.+)")
-    return (int(found[0][0]), found[0][1]) if found else None
-
-
-_OPENED: dict[tuple[str, str], str] = {}
-
-
-def _bucketed(spark: SparkSession, path: str, buckets: int, column: str) -> DataFrame:
-    """Stored buckets as a catalog table, registered once per application and folder."""
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _OPENED:
-        table = f"buckets_{uuid.uuid4().hex[:12]}"
-        columns = ", ".join(
-            f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields
-        )
-        spark.sql(
-            f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (`{column}`) "
-            f"SORTED BY (`{column}`) INTO {buckets} BUCKETS LOCATION '{path}'"
-        )
-        _OPENED[key] = table
-    return spark.table(_OPENED[key])
-
-
-def _forget(spark: SparkSession, path: str) -> None:
-    """Drop the catalog entry of a version folder (its files stay)."""
-    table = _OPENED.pop((spark.sparkContext.applicationId, path), None)
-    if table:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    """A stored table, with its buckets if it has any."""
+    return spark.table(_existing(spark, base, layer, name))
 
 
-def _publish(spark: SparkSession, target: str) -> None:
-    """Mark a version as finished; from now on readers see it."""
-    fs, marker = _fs(spark, f"{target}/_SUCCESS")
-    fs.create(marker, True).close()
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
 
 
-def _write_version(
-    df: DataFrame, target: str, label: str, bucket_by: str | None, buckets: int | None
-) -> DataFrame:
-    """Write an unpublished version (no success marker) and read it back."""
-    spark = df.sparkSession
+def _save(df: DataFrame, table: str, mode: str, bucket_by: str | None, buckets: int | None) -> None:
     if bucket_by is None:
-        df.write.mode("overwrite").option(*_UNMARKED).parquet(target)
-        return spark.read.parquet(target)
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = f"{label}_{uuid.uuid4().hex[:12]}"
+        df.write.mode(mode).format("parquet").saveAsTable(table)
+        return
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        df.repartition(n, bucket_by)
-        .write.mode("overwrite")
-        .format("parquet")
-        .bucketBy(n, bucket_by)
-        .sortBy(bucket_by)
-        .option(*_UNMARKED)
-        .option("path", target)
-        .saveAsTable(table)
+        df.repartition(n, bucket_by).write.mode(mode).format("parquet")
+        .bucketBy(n, bucket_by).sortBy(bucket_by).saveAsTable(table)
     )
-    _mark(spark, target, f"_buckets-{n}-{bucket_by}")
-    _OPENED[(spark.sparkContext.applicationId, target)] = table
-    return spark.table(table)
 
 
-def _next_version(spark: SparkSession, path: str) -> str:
-    taken = _versions(spark, path, published=False)
-    return f"{path}/v{(taken[-1] + 1) if taken else 1}"
+def _staged(df: DataFrame, table: str, bucket_by: str | None, buckets: int | None) -> str:
+    staged = f"{table}_{uuid.uuid4().hex[:12]}"
+    _save(df, staged, "error", bucket_by, buckets)
+    return staged
+
+
+def _swap(spark: SparkSession, staged: str, table: str) -> DataFrame:
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    return spark.table(table)
 
 
 def write_layer(
@@ -141,28 +78,29 @@ def write_layer(
 ) -> DataFrame:
     """Store a table and return it read back.
 
-    ``overwrite`` writes a new version folder and replaces data and schema; readers of the
-    old version, including ``df`` itself, are not disturbed, and a failed write leaves the
-    old version current. ``append`` adds files to the current version; bucketed and keyed tables
-    refuse it, since plain files would break their buckets and nothing would check their keys.
-    With ``bucket_by`` the rows are stored in hash buckets of that (unique) key, so later joins
-    and aggregations on it need no shuffle.
+    ``overwrite`` replaces data and schema; ``df`` may read the table it replaces, and a failed
+    write leaves the old table. ``append`` inserts by column name and keeps buckets; a keyed table
+    refuses it, as nothing would check the keys. With ``bucket_by`` the rows are stored in hash buckets
+    of that (unique) key, so later joins and aggregations on it need no shuffle.
     """
     spark = df.sparkSession
-    path = layer_path(base, layer, name)
+    table = table_name(spark, base, layer, name)
     if mode not in ("overwrite", "append"):
         raise ValueError(f"unknown mode {mode!r}")
-    if mode == "append" and _versions(spark, path):
-        target = table_path(spark, base, layer, name)
-        if _bucket_spec(spark, target) or _markers(spark, target, r"_keys-(.+)"):
-            raise ValueError(f"{layer}.{name} is bucketed or keyed: write a new version instead")
-        # the marker keeps the time at which the version was published
-        df.write.mode("append").option(*_UNMARKED).parquet(target)
-        return spark.read.parquet(target)
-    target = _next_version(spark, path)
-    written = _write_version(df, target, f"{layer}_{name}", bucket_by, buckets)
-    _publish(spark, target)
-    return written
+    if mode == "append" and spark.catalog.tableExists(table):
+        if _KEYS in _properties(spark, table):
+            raise ValueError(f"{layer}.{name} is keyed: overwrite it instead")
+        found = _bucket_spec(spark, table)
+        _save(df, table, "append", *(found or (None, None)))
+        return spark.table(table)
+    return _swap(spark, _staged(df, table, bucket_by, buckets), table)
+
+
+def _bucket_spec(spark: SparkSession, table: str) -> tuple[str, int] | None:
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    if "Num Buckets" not in described:
+        return None
+    return described["Bucket Columns"].strip("[]`"), int(described["Num Buckets"])
 
 
 class KeyViolation(ValueError):
@@ -189,38 +127,57 @@ def write_keyed(
 ) -> DataFrame:
     """Create or overwrite a table with a primary-key contract.
 
-    The new version is written, checked as stored, and only then published; on a violation
-    readers keep the previous version.
+    The rows are stored under another name, checked as stored, and only then take the table's name;
+    on a violation the previous table stays.
     """
     spark = df.sparkSession
-    target = _next_version(spark, layer_path(base, layer, name))
-    written = _write_version(df, target, f"{layer}_{name}", bucket_by, buckets)
-    bad = key_violations(written, keys).limit(3).collect()
+    table = table_name(spark, base, layer, name)
+    staged = _staged(df, table, bucket_by, buckets)
+    bad = key_violations(spark.table(staged), keys).limit(3).collect()
     if bad:
-        _forget(spark, target)
+        spark.sql(f"DROP TABLE {staged}")
         raise KeyViolation(f"{layer}.{name}: NULL or repeated key, for example {bad}")
-    _mark(spark, target, "_keys-" + "-".join(keys))
-    _publish(spark, target)
-    return written
+    spark.sql(f"ALTER TABLE {staged} SET TBLPROPERTIES ('{_KEYS}' = '{','.join(keys)}')")
+    return _swap(spark, staged, table)
+
 
+# ---------------------------------------------------------------- deliveries
 
-def version_starts(spark: SparkSession, base: str, layer: str, name: str) -> dict[int, int]:
-    """Finished versions, and when each was published (milliseconds)."""
-    path = layer_path(base, layer, name)
-    found = {}
-    for number in _versions(spark, path):
-        fs, marker = _fs(spark, f"{path}/v{number}/_SUCCESS")
-        found[number] = fs.getFileStatus(marker).getModificationTime()
-    return found
 
+def last_delivery(spark: SparkSession, base: str, layer: str, name: str) -> int:
+    """Number of the latest delivery of a table, 0 if it has none yet."""
+    table = table_name(spark, base, layer, name)
+    if not spark.catalog.tableExists(table):
+        return 0
+    return spark.table(table).agg(F.max(DELIVERY)).first()[0] or 0
 
-def note(spark: SparkSession, path: str, text: str | None = None) -> str | None:
-    """Read a one-line file, or write it first if it is not there and a text is given."""
-    fs, jpath = _fs(spark, path)
-    if text is not None and not fs.exists(jpath):
-        overwrite_note(spark, path, text)
-    return spark.read.text(path).first().value if fs.exists(jpath) else None
 
+def append_delivery(df: DataFrame, base: str, layer: str, name: str) -> int:
+    """Add the rows as the next delivery of a table, a partition of its own; returns its number.
 
-def overwrite_note(spark: SparkSession, path: str, text: str) -> None:
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    One writer at a time: numbers are taken from what is stored.
+    """
+    spark = df.sparkSession
+    number = last_delivery(spark, base, layer, name) + 1
+    numbered = df.withColumn(DELIVERY, F.lit(number))
+    numbered.write.mode("append").format("parquet").partitionBy(DELIVERY).saveAsTable(
+        table_name(spark, base, layer, name)
+    )
+    return number
+
+
+def rewrite_deliveries(df: DataFrame, base: str, layer: str, name: str) -> None:
+    """Replace the deliveries that occur in ``df`` (which may read the table); others stay.
+
+    Streams that have read them skip the rewritten rows.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    table = _existing(spark, base, layer, name)
+    rows = df.select(*spark.table(table).columns).checkpoint()
+    before = spark.conf.get(_OVERWRITE)
+    spark.conf.set(_OVERWRITE, "dynamic")
+    try:
+        rows.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(_OVERWRITE, before)

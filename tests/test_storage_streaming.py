@@ -5,7 +5,15 @@ from pyspark.sql import functions as F
 
 from gatefold.operators.quality import expect_or_drop
 from gatefold.sources.files import stream_json, stream_table
-from gatefold.sources.layers import KeyViolation, read_layer, write_keyed, write_layer
+from gatefold.sources.layers import (
+    KeyViolation,
+    append_delivery,
+    last_delivery,
+    read_layer,
+    rewrite_deliveries,
+    write_keyed,
+    write_layer,
+)
 from gatefold.streaming import jobs
 
 SCHEMA = "ticket_id STRING, ticket_price DOUBLE"
@@ -17,24 +25,24 @@ def drop(folder, name, *rows):
     (folder / name).write_text("\n".join(json.dumps(r) for r in rows))
 
 
-def test_overwrite_replaces_schema_while_the_old_version_is_read(spark, tmp_path):
+def test_overwrite_replaces_schema_while_the_old_table_is_read(spark, tmp_path):
     base = str(tmp_path)
     first = write_layer(spark.range(5).withColumnRenamed("id", "a"), base, "gold", "t")
     second = write_layer(first.select((F.col("a") * 2).alias("b")), base, "gold", "t")
     assert second.columns == ["b"] and read_layer(spark, base, "gold", "t").count() == 5
-    assert first.count() == 5
     write_layer(second, base, "gold", "t", mode="append")
-    assert read_layer(spark, base, "gold", "t").count() == 10
+    assert sorted(r.b for r in read_layer(spark, base, "gold", "t").collect()) == sorted([0, 2, 4, 6, 8] * 2)
     with pytest.raises(ValueError):
         write_layer(second, base, "gold", "t", mode="merge")
     with pytest.raises(FileNotFoundError):
         read_layer(spark, base, "gold", "other")
 
 
-def test_unfinished_version_is_ignored(spark, tmp_path):
+def test_failed_overwrite_keeps_the_old_table(spark, tmp_path):
     base = str(tmp_path)
     write_layer(spark.range(3), base, "gold", "t")
-    (tmp_path / "gold" / "t" / "v2").mkdir()
+    with pytest.raises(Exception, match="boom"):
+        write_layer(spark.range(3).select(F.raise_error(F.lit("boom")).cast("long").alias("id")), base, "gold", "t")
     assert read_layer(spark, base, "gold", "t").count() == 3
 
 
@@ -94,11 +102,11 @@ def test_union_quarantine_split_and_metrics(spark, tmp_path):
     rows = [{"ticket_id": "a", "ticket_price": 2.0}, {"ticket_id": None, "ticket_price": 2.0}, {"ticket_id": "c", "ticket_price": 0.0}, {"ticket_id": "d"}]
     drop(landing, "a.json", *rows)
     seed = spark.createDataFrame([("s", 3.0)], "ticket_id string, ticket_price double")
-    write_layer(seed, base, "bronze", "seed")
+    append_delivery(seed, base, "bronze", "seed")
 
     def streams():
         return (
-            stream_table(spark, base, "bronze", "seed", f"{base}/c1"),
+            stream_table(spark, base, "bronze", "seed"),
             stream_json(spark, str(landing), SCHEMA, lineage=False),
         )
 
@@ -121,38 +129,80 @@ def test_union_quarantine_split_and_metrics(spark, tmp_path):
     assert expect_or_drop(batch, RULES).count() == spark.read.parquet(f"{base}/g").count()
 
 
-def test_table_stream_skips_a_rewrite_and_reads_later_appends(spark, tmp_path):
+def test_table_stream_skips_a_rewrite_and_reads_later_deliveries(spark, tmp_path):
     base = str(tmp_path)
     rows = spark.range(5).withColumnRenamed("id", "a")
 
-    def run():
-        jobs.run_stream(stream_table(spark, base, "bronze", "t", f"{base}/c"), f"{base}/out", f"{base}/c")
-        return sorted(r.a for r in spark.read.parquet(f"{base}/out").collect())
+    def run(job="c", out="out"):
+        jobs.run_from_tables(
+            spark, base, "bronze", ["t"], lambda s: jobs.run_stream(s, f"{base}/{out}", f"{base}/{job}"), f"{base}/{job}"
+        )
+        return sorted(r.a for r in spark.read.parquet(f"{base}/{out}").collect())
 
-    write_layer(rows, base, "bronze", "t", mode="append")
-    assert run() == [0, 1, 2, 3, 4]
-    write_layer(rows.where("a < 3"), base, "bronze", "t")
+    assert last_delivery(spark, base, "bronze", "t") == 0
+    append_delivery(rows, base, "bronze", "t")
     assert run() == [0, 1, 2, 3, 4]
-    write_layer(rows.where("a = 4").selectExpr("a + 10 as a"), base, "bronze", "t", mode="append")
-    assert run() == [0, 1, 2, 3, 4, 14] == run()
-    fresh = stream_table(spark, base, "bronze", "t", f"{base}/d")
-    jobs.run_stream(fresh, f"{base}/out2", f"{base}/d")
-    assert sorted(r.a for r in spark.read.parquet(f"{base}/out2").collect()) == [0, 1, 2, 14]
+    append_delivery(rows.selectExpr("a + 10 as a"), base, "bronze", "t")
+    table = read_layer(spark, base, "bronze", "t")
+    rewrite_deliveries(table.where("a < 3"), base, "bronze", "t")  # delivery 1 only
+    assert read_layer(spark, base, "bronze", "t").count() == 8
+    assert run() == [0, 1, 2, 3, 4, 10, 11, 12, 13, 14] == run()
+    assert run("d", "out2") == [0, 1, 2, 10, 11, 12, 13, 14]  # a new job reads what is stored
+
 
+def test_table_stream_takes_a_long_history_in_bounded_batches(spark, tmp_path):
+    base = str(tmp_path)
+    append_delivery(spark.range(60).repartition(6), base, "bronze", "t")
+    with pytest.raises(ValueError):
+        stream_table(spark, base, "bronze", "t", max_files=1, max_bytes=1)
+    for bound, batches in (({"max_files": 2}, 3), ({"max_bytes": 1}, 6)):
+        out = f"{base}/{batches}"
 
-def test_buckets_survive_reopening_and_refuse_appends(spark, tmp_path):
-    from gatefold.sources import layers
+        def job(rows, out=out):
+            jobs.silver_stream(
+                rows, rows.where("false"), lambda d: d, {"known": "id >= 0"}, f"{out}/o", f"{out}/c",
+                {"small": "id < 50", "known": "id IS NOT NULL"}, f"{out}/w",
+            )
+
+        jobs.run_from_tables(spark, base, "bronze", ["t"], job, f"{out}/c", **bound)
+        written = spark.read.parquet(f"{out}/o")
+        assert written.count() == 60 and written.select("batch_id").distinct().count() == batches
+        warned = spark.read.parquet(f"{out}/w").groupBy("rule").agg(F.sum("total_rows").alias("n"), F.sum("violations").alias("v"))
+        assert {r.rule: (r.n, r.v) for r in warned.collect()} == {"small": (60, 10), "known": (60, 0)}
+
+
+def test_warn_counts_survive_a_replayed_batch(spark, tmp_path):
+    write = jobs._watched_writer({"small": "id < 3"}, str(tmp_path / "o"), str(tmp_path / "w"))
+    for _ in range(2):
+        write(spark.range(5), 7)
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 5
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "w")).collect()] == [("small", 5, 2, 7)]
 
+
+def test_a_source_joins_a_running_union_later(spark, tmp_path):
+    base = str(tmp_path)
+
+    def run(*names):
+        sources = {n: stream_table(spark, base, "bronze", n) for n in names}
+        jobs.union_streams(sources, f"{base}/out", f"{base}/c")
+        return sorted((r.source, r.id) for r in spark.read.parquet(f"{base}/out").select("source", "id").collect())
+
+    append_delivery(spark.range(2), base, "bronze", "a")
+    assert run("a") == [("a", 0), ("a", 1)]
+    append_delivery(spark.range(5, 6), base, "bronze", "a")
+    append_delivery(spark.range(7, 8), base, "bronze", "b")
+    assert run("a", "b") == [("a", 0), ("a", 1), ("a", 5), ("b", 7)] == run("b", "a")
+
+
+def test_buckets_spare_shuffles_and_take_appends(spark, tmp_path):
     base = str(tmp_path)
     rows = spark.range(40).selectExpr("id as k", "id % 7 as v")
     write_layer(rows, base, "gold", "b", bucket_by="k", buckets=4)
-    layers._OPENED.clear()  # as another session would see it
+    write_layer(rows.selectExpr("k + 40 as k", "v"), base, "gold", "b", mode="append")
     again = read_layer(spark, base, "gold", "b")
-    assert again.count() == 40
+    assert again.count() == 80
     plan = again.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
-    with pytest.raises(ValueError):
-        write_layer(rows, base, "gold", "b", mode="append")
     write_keyed(rows, base, "gold", "f", ["k"])
     with pytest.raises(ValueError):
         write_layer(rows, base, "gold", "f", mode="append")
@@ -196,6 +246,9 @@ def test_inferred_schema_is_kept_and_grows(spark, tmp_path):
     assert inferred_schema(spark, str(landing), store).names == ["a", "b"]
     import os
 
-    for name in ("1.json", "2.json"):
-        os.utime(landing / name, (1_000_000_000, 1_000_000_000))
-    assert inferred_schema(spark, str(landing), store).names == ["a", "b"]
+    drop(landing, "0.json", {"c": 1.5, "a": 3})
+    os.utime(landing / "0.json", (1_000_000_000, 1_000_000_000))  # copied in with an old time
+    assert inferred_schema(spark, str(landing), store).names == ["a", "b", "c"]
+    assert inferred_schema(spark, str(landing), store).names == ["a", "b", "c"]
+    looked = spark.read.parquet(store)
+    assert looked.count() == 3 == looked.select("path").distinct().count()
