@@ -9,6 +9,8 @@ from ..operators.grouping import value_counts
 from ..operators.ordering import top_k
 from ..operators.quantiles import median_profile
 from ..oracle import rounded as R
+from ..plans.stored import source_state
+from ..session import ensure_checkpoint_dir
 from .registry import query
 
 Z = ["recency_days", "monetary_net", "promo_sensitivity", "tenure_days"]
@@ -185,8 +187,8 @@ _MODELS: dict[tuple, object] = {}
 
 
 def _once(t, name, fit):
-    """Fit a model once per application and source folder."""
-    key = (t.spark.sparkContext.applicationId, t.sf_dir, name)
+    """Fit a model once per application and state of the source folder."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, source_state(t.spark, t.sf_dir), name)
     if key not in _MODELS:
         _MODELS[key] = fit()
     return _MODELS[key]
@@ -197,13 +199,17 @@ def _segmentation(t):
 
 
 def _splits(t):
-    """Train / validation / test from two nested splits; the test rows stay unseen."""
-    marked = churn.stratified_split(t("fan_features"), "churn_flag", "customer_id")
-    inner = churn.stratified_split(
-        marked.filter(~F.col("is_test")), "churn_flag", "customer_id", seed=43, name="is_valid"
-    )
-    train, valid = inner.filter(~F.col("is_valid")), inner.filter("is_valid")
-    return train, valid, marked.filter("is_test")
+    """Train / validation / test from two nested splits, made once; the test rows stay unseen."""
+
+    def split():
+        ensure_checkpoint_dir(t.spark)
+        marked = churn.stratified_split(t("fan_features"), "churn_flag", "customer_id").checkpoint()
+        inner = churn.stratified_split(
+            marked.filter(~F.col("is_test")), "churn_flag", "customer_id", seed=43, name="is_valid"
+        ).checkpoint()
+        return inner.filter(~F.col("is_valid")), inner.filter("is_valid"), marked.filter("is_test")
+
+    return _once(t, "splits", split)
 
 
 def _churn_model(t):
@@ -220,18 +226,39 @@ def _held_out_auc(t, model):
 @query(
     "ml_churn_fit",
     f"""SELECT count(*) FILTER (churn_flag = 1) AS positives, count(*) FILTER (churn_flag = 0) AS negatives,
-               TRUE AS auc_valid, TRUE AS no_worse_than_one_tree FROM ({SPLIT}) WHERE is_test""",
+               TRUE AS auc_valid, TRUE AS better_than_one_tree FROM ({SPLIT}) WHERE is_test""",
 )
 def _(t):
-    """Held-out rows, a valid AUC on them, and a validation loss no worse than the first tree's."""
+    """Held-out rows, a valid AUC on them, and a held-out loss below that of the first tree alone.
+
+    The test rows took no part in the choice of the number of trees.
+    """
     model = _churn_model(t)
-    losses = model.validation_losses
+    losses = churn.round_losses(model, _splits(t)[2])
     return _held_out_auc(t, model).select(
         "positives", "negatives", F.col("auc").between(0, 1).alias("auc_valid"),
-        F.lit(losses[-1] <= losses[0]).alias("no_worse_than_one_tree"),
+        F.lit(len(losses) > 1 and losses[-1] < losses[0]).alias("better_than_one_tree"),
     )
 
 
+@query("ml_churn_table")
+def _(t):
+    """The score table of the fitted churn model."""
+    return churn.score_churn(_churn_model(t), t("fan_features")).drop("scored_at")
+
+
+@query("ml_segments_fitted")
+def _(t):
+    """The segment table of the fitted segmentation."""
+    return clustering.segment_scores(_segmentation(t), t("fan_features")).drop("scored_at")
+
+
+@query("ml_importances_fitted")
+def _(t):
+    """Importance of every input of the fitted churn model."""
+    return churn.importances(_churn_model(t), t.spark)
+
+
 @query(
     "ml_churn_score",
     """SELECT customer_id, TRUE AS probability_valid, TRUE AS tier_fits,

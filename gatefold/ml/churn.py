@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import SparkContext
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -25,8 +26,10 @@ CHURN_FEATURES = [
 
 # Hex digits of the hash that form a bucket: 65536 even buckets per label.
 _BUCKET_DIGITS = 4
-# Rounds without a better validation loss before boosting stops.
+# Rounds without a better validation loss before later ones are cut off.
 PATIENCE = 20
+# Training rows in a partition.
+ROWS_PER_TASK = 50_000
 
 
 def stratified_split(
@@ -86,7 +89,7 @@ def _filled(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def best_round(losses: Sequence[float], patience: int = PATIENCE) -> tuple[int, bool]:
     """(number of rounds to keep, has the patience run out) for validation losses per round.
 
-    Boosting would stop ``patience`` rounds after the lowest loss so far; later losses are not seen.
+    Boosting with patience would stop ``patience`` rounds after the lowest loss so far; later losses are not seen.
     """
     best = 0
     for at, loss in enumerate(losses):
@@ -97,55 +100,71 @@ def best_round(losses: Sequence[float], patience: int = PATIENCE) -> tuple[int,
     return best + 1, False
 
 
+def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
+    """The model of the first ``n`` rounds of a fit: its first trees with their weights."""
+    fitted = model._java_obj
+    gateway = SparkContext._active_spark_context._gateway
+    kinds = gateway.jvm.org.apache.spark.ml
+    trees = gateway.new_array(kinds.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(gateway.jvm.double, n)
+    all_trees, all_weights = fitted.trees(), fitted.treeWeights()
+    for i in range(n):
+        trees[i], weights[i] = all_trees[i], all_weights[i]
+    kept = kinds.classification.GBTClassificationModel(
+        fitted.uid(), trees, weights, fitted.numFeatures(), fitted.numClasses()
+    )
+    made = model._copyValues(GBTClassificationModel(kept))
+    made._transfer_params_to_java()
+    return made
+
+
+def _prepared(df: DataFrame, assembler: VectorAssembler, label: str, weight: float) -> DataFrame:
+    """Label, feature vector and weight; positives weigh ``weight``."""
+    rows = _filled(df, [*assembler.getInputCols(), label]).withColumn(
+        "_weight", F.when(F.col(label) == 1, F.lit(weight)).otherwise(F.lit(1.0))
+    )
+    return assembler.transform(rows).select(label, "_features", "_weight")
+
+
+def round_losses(model: PipelineModel, rows: DataFrame, label: str = "churn_flag") -> list[float]:
+    """Weighted loss of a fitted churn model on ``rows`` after each of its rounds, in one pass."""
+    assembler, trees = model.stages
+    return list(trees.evaluateEachIteration(_prepared(rows, assembler, label, model.positive_weight)))
+
+
 def fit_churn(
     train: DataFrame, valid: DataFrame, cols: Sequence[str] = CHURN_FEATURES,
     label: str = "churn_flag", rounds: int = 300, depth: int = 4, rate: float = 0.05,
     subsample: float = 0.8, colsample: float = 0.8, seed: int = 42, patience: int = PATIENCE,
 ) -> PipelineModel:
-    """Boosted trees with positive-class weight, stopped early on ``valid`` with patience.
+    """Boosted trees with positive-class weight, cut on ``valid`` with patience.
 
-    The first trees of a longer fit are the trees of a shorter one with the same seed. So the
-    number of rounds is doubled until the validation loss has not improved for ``patience`` rounds
-    or ``rounds`` is reached, and the model of the best round is fitted; the weighted loss of its
-    rounds is kept in ``validation_losses``. ``valid`` must not be the test set, or the reported
-    quality is too good.
+    All rounds are fitted once. A round only adds a tree, so the model of any earlier round is a prefix
+    of the ensemble: the validation loss of every round comes from one pass, and the trees up to the
+    best round before the patience ran out are kept without another fit. The losses of all rounds are in
+    ``validation_losses``. ``valid`` must not be the test set, or the reported quality is too good.
     """
     ensure_checkpoint_dir(train.sparkSession)
-    weight = class_weight(train, label).select("scale_pos_weight").scalar()
+    balance = class_weight(train, label).first()
+    weight = 1.0 if balance.scale_pos_weight is None else float(balance.scale_pos_weight)
     assembler = VectorAssembler(inputCols=list(cols), outputCol="_features")
-
-    def prepared(df: DataFrame) -> DataFrame:
-        rows = _filled(df.select(label, *cols), [*cols, label]).withColumn(
-            "_weight",
-            F.when(F.col(label) == 1, F.coalesce(weight, F.lit(1.0))).otherwise(F.lit(1.0)),
-        )
-        return assembler.transform(rows).select(label, "_features", "_weight")
-
-    seen, unseen = prepared(train).persist(), prepared(valid).persist()
-
-    def fitted(n: int):
-        return GBTClassifier(
-            labelCol=label, featuresCol="_features", weightCol="_weight", maxIter=n, maxDepth=depth,
+    # A round runs a job per level of the tree: few rows are kept in few partitions.
+    parts = -(-(balance.positives + balance.negatives) // ROWS_PER_TASK)
+    seen = _prepared(train, assembler, label, weight).coalesce(max(1, parts)).persist()
+    unseen = _prepared(valid, assembler, label, weight).persist()
+    try:
+        model = GBTClassifier(
+            labelCol=label, featuresCol="_features", weightCol="_weight", maxIter=rounds, maxDepth=depth,
             stepSize=rate, subsamplingRate=subsample, featureSubsetStrategy=str(colsample), seed=seed,
             checkpointInterval=10,
         ).fit(seen)
-
-    try:
-        n = min(rounds, 2 * patience)
-        while True:
-            model = fitted(n)
-            losses = list(model.evaluateEachIteration(unseen))
-            keep, stopped = best_round(losses, patience)
-            if stopped or n >= rounds:
-                break
-            n = min(rounds, 2 * n)
-        if keep < n:
-            model = fitted(keep)
+        losses = list(model.evaluateEachIteration(unseen))
+        keep, _ = best_round(losses, patience)
     finally:
         seen.unpersist()
         unseen.unpersist()
-    pipeline = PipelineModel([assembler, model])
-    pipeline.validation_losses = losses[:keep]
+    pipeline = PipelineModel([assembler, first_trees(model, keep)])
+    pipeline.validation_losses, pipeline.positive_weight = losses, weight
     return pipeline
 
 

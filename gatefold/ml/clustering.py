@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark import StorageLevel
+import numpy as np
+import pyarrow as pa
+from pyspark import SparkContext, StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -35,15 +38,111 @@ def _scaler(df: DataFrame, cols: Sequence[str]) -> PipelineModel:
     return PipelineModel([assembler, scaler.fit(assembler.transform(_filled(df, cols)))])
 
 
-def _kmeans(k: int, seed: int, max_iter: int) -> KMeans:
-    return KMeans(
-        k=k, seed=seed, maxIter=max_iter, featuresCol="_scaled", predictionCol="segment_id"
+# Rows that starting centres are drawn from; every later step reads all rows.
+START_ROWS = 4096
+_MOVED = 1e-4
+_SUMS = "centers int, cluster int, n long, cost double, total array<double>"
+
+
+def _starts(rows: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k rows, each drawn with the odds of its squared distance to those drawn before."""
+    rng = np.random.default_rng(seed)
+    picked = [rows[rng.integers(len(rows))]]
+    for _ in range(1, k):
+        gaps = np.min([((rows - p) ** 2).sum(axis=1) for p in picked], axis=0)
+        total = gaps.sum()
+        picked.append(rows[rng.choice(len(rows), p=gaps / total) if total > 0 else rng.integers(len(rows))])
+    return np.array(picked)
+
+
+def _sums(scaled: DataFrame, sets: Mapping[int, np.ndarray]) -> list:
+    """Size, cost and vector sum of every cluster of every set of centres, from one scan.
+
+    A task sends one row per set and cluster; the driver gets as many, whatever the number of rows.
+    """
+    shipped = {i: c.copy() for i, c in sets.items()}
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = {i: (np.zeros(len(c)), np.zeros(len(c)), np.zeros(c.shape)) for i, c in shipped.items()}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            norms = (x * x).sum(axis=1)
+            for i, c in shipped.items():
+                gaps = norms[:, None] - 2 * (x @ c.T) + (c * c).sum(axis=1)
+                near = gaps.argmin(axis=1)
+                n, cost, total = found[i]
+                n += np.bincount(near, minlength=len(c))
+                cost += np.bincount(near, np.maximum(gaps[np.arange(len(x)), near], 0), minlength=len(c))
+                np.add.at(total, near, x)
+        rows = [(i, j, int(n[j]), cost[j], total[j]) for i, (n, cost, total) in found.items() for j in range(len(n))]
+        columns = list(zip(*rows, strict=True))
+        types = [pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.list_(pa.float64())]
+        names = ["centers", "cluster", "n", "cost", "total"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+    d = len(next(iter(shipped.values()))[0])
+    totals = F.array(*[F.sum(F.get("total", F.lit(i))) for i in range(d)])
+    return (
+        scaled.mapInArrow(add, _SUMS).groupBy("centers", "cluster")
+        .agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), totals.alias("total")).collect()
     )
 
 
-def _best(scaled: DataFrame, k: int, restarts: int, max_iter: int, seed: int):
-    fits = (_kmeans(k, seed + i, max_iter).fit(scaled) for i in range(restarts))
-    return min(fits, key=lambda m: m.summary.trainingCost)
+def fit_many(scaled: DataFrame, ks: Sequence[int], restarts: int, max_iter: int, seed: int) -> dict[int, tuple[float, np.ndarray]]:
+    """Per k the lowest cost and its centres over all restarts, on array rows ``x``.
+
+    All restarts of all k go through the rows together: one job per iteration, and a set of centres
+    leaves once it stands still. Centres start on rows of a bounded sample by hash; empty clusters stay
+    where they are.
+    """
+    sample = scaled.orderBy(F.xxhash64("x"), "x").limit(START_ROWS).collect()
+    if not sample:
+        raise ValueError("no rows to cluster")
+    start = np.array([r.x for r in sample])
+    sets = {
+        i: _starts(start, k, seed + i % restarts) for i, k in enumerate(k for k in ks for _ in range(restarts))
+    }
+    of_k = {i: len(c) for i, c in sets.items()}
+    best: dict[int, tuple[float, np.ndarray]] = {}
+    moving = dict(sets)
+    for step in range(max_iter + 1):
+        after: dict[int, np.ndarray] = {i: c.copy() for i, c in moving.items()}
+        costs = dict.fromkeys(moving, 0.0)
+        for r in _sums(scaled, moving):
+            costs[r.centers] += r.cost
+            if r.n:
+                after[r.centers][r.cluster] = np.array(r.total) / r.n
+        for i in list(moving):
+            if step == max_iter or ((after[i] - moving[i]) ** 2).sum(axis=1).max() <= _MOVED**2:
+                k = of_k[i]
+                if k not in best or costs[i] < best[k][0]:
+                    best[k] = costs[i], after[i]
+                del moving[i]
+            else:
+                moving[i] = after[i]
+        if not moving:
+            break
+    return best
+
+
+def _model(centers: np.ndarray) -> KMeansModel:
+    """Spark's model of given centres."""
+    gateway = SparkContext._active_spark_context._gateway
+    jvm, vectors = gateway.jvm, gateway.jvm.java.util.ArrayList()
+    for center in centers:
+        values = gateway.new_array(jvm.double, len(center))
+        for i, v in enumerate(center):
+            values[i] = float(v)
+        vectors.add(jvm.org.apache.spark.mllib.linalg.Vectors.dense(values))
+    held = jvm.org.apache.spark.mllib.clustering.KMeansModel(vectors)
+    made = KMeansModel(jvm.org.apache.spark.ml.clustering.KMeansModel(f"kmeans_{uuid.uuid4().hex[:12]}", held))
+    return made.setFeaturesCol("_scaled").setPredictionCol("segment_id")
+
+
+def _scaled_rows(df: DataFrame, prepared: PipelineModel, cols: Sequence[str]) -> DataFrame:
+    return prepared.transform(_filled(df, cols)).select("_scaled", vector_to_array("_scaled").alias("x"))
 
 
 def elbow(
@@ -55,15 +154,15 @@ def elbow(
     The silhouette is computed over all rows: the squared-euclidean form needs one pass over
     per-cluster totals, so no sample is drawn.
     """
-    scaled = _scaler(df, cols).transform(_filled(df, cols)).select("_scaled")
-    scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
+    scaled = _scaled_rows(df, _scaler(df, cols), cols).persist(StorageLevel.MEMORY_AND_DISK)
     judge = ClusteringEvaluator(featuresCol="_scaled", predictionCol="segment_id")
-    rows = []
     try:
+        best = fit_many(scaled.select("x"), list(ks), restarts, max_iter, seed)
+        rows = []
         for k in ks:
-            model = _best(scaled, k, restarts, max_iter, seed)
-            score = judge.evaluate(model.transform(scaled))
-            rows.append((int(k), float(model.summary.trainingCost), float(score)))
+            cost, centers = best[k]
+            placed = assign(scaled, centers.tolist(), F.col("x"))
+            rows.append((int(k), float(cost), float(judge.evaluate(placed))))
     finally:
         scaled.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
@@ -75,13 +174,12 @@ def fit_segments(
 ) -> PipelineModel:
     """Scaler and k-means in one model; the restart with the lowest cost wins."""
     prepared = _scaler(df, cols)
-    scaled = prepared.transform(_filled(df, cols)).select("_scaled")
-    scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
+    scaled = _scaled_rows(df, prepared, cols).select("x").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        best = _best(scaled, k, restarts, max_iter, seed)
+        _, centers = fit_many(scaled, [k], restarts, max_iter, seed)[k]
     finally:
         scaled.unpersist()
-    return PipelineModel([*prepared.stages, best])
+    return PipelineModel([*prepared.stages, _model(centers)])
 
 
 def centers_of(model: PipelineModel) -> list[list[float]]:

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -41,8 +42,42 @@ def test_segments_follow_the_blobs_and_distances_are_consistent(spark, blobs):
     ]
     blob = F.expr("int(substring(customer_id, 2)) % 3")
     assert out.groupBy(blob.alias("blob")).agg(F.count_distinct("segment_id").alias("n")).filter("n > 1").count() == 0
-    cost = out.agg(F.sum(F.col("distance_to_centroid") ** 2)).first()[0]
-    assert cost == pytest.approx(model.stages[-1].summary.trainingCost, rel=1e-6)
+    # Spark's own model class: it places the rows as the table does.
+    again = model.transform(blobs).select("customer_id", "segment_id")
+    assert out.select("customer_id", "segment_id").exceptAll(again).count() == 0
+
+
+def _jobs(spark, group, work):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        return work(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_all_restarts_share_their_scans_and_match_single_fits(spark):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    rng = random.Random(3)
+    rows = [([rng.gauss(i % 4 * 3, 1), rng.gauss(i % 3 * 3, 1), rng.random()],) for i in range(900)]
+    x = spark.createDataFrame(rows, "x array<double>").repartition(3).cache()
+    found, many = _jobs(spark, "ten", lambda: clustering.fit_many(x, [4, 6], 10, 300, 1))
+    _, few = _jobs(spark, "one", lambda: clustering.fit_many(x, [4, 6], 1, 300, 1))
+    vectors = x.select(array_to_vector("x").alias("features")).cache()
+    for k in (4, 6):
+        single = min(KMeans(k=k, seed=s, maxIter=300).fit(vectors).summary.trainingCost for s in range(10))
+        assert found[k][0] <= single * 1.001 and found[k][1].shape == (k, 3)
+    # As many jobs as rounds of the slowest set: not ten times as many.
+    assert many < 6 * few
+
+
+def test_many_equal_rows_and_one_row_cluster(spark):
+    same = spark.createDataFrame([([1.0, 2.0],)] * 50, "x array<double>")
+    cost, centers = clustering.fit_many(same, [3], 2, 10, 1)[3]
+    assert cost == pytest.approx(0) and centers.tolist() == [[1.0, 2.0]] * 3
+    with pytest.raises(ValueError):
+        clustering.fit_many(same.limit(0), [2], 1, 5, 1)
 
 
 def test_assign_breaks_ties_to_the_lowest_number(spark):
@@ -139,6 +174,22 @@ def test_noisy_data_takes_many_trees(spark):
     assert one == 1 < many and together > alone
 
 
+def test_the_first_trees_of_a_fit_are_a_shorter_fit(spark, blobs):
+    """One fit of many rounds, cut, predicts what a fit of that many rounds does."""
+    train, valid = blobs.filter("hash(customer_id) % 2 = 0"), blobs.filter("hash(customer_id) % 2 <> 0")
+    cols = ["a", "b", "flat"]
+    long, short = (churn.fit_churn(train, valid, cols, rounds=n, patience=50) for n in (12, 4))
+    assembler, trees = long.stages
+    cut = PipelineModel([assembler, churn.first_trees(trees, min(4, trees.getNumTrees))])
+    kept = short.stages[-1].getNumTrees
+    assert cut.stages[-1].getNumTrees == min(4, trees.getNumTrees) and len(long.validation_losses) == 12
+    cut = PipelineModel([assembler, churn.first_trees(trees, kept)]) if kept <= trees.getNumTrees else cut
+    one, two = (
+        {r.customer_id: r.churn_probability for r in churn.score_churn(m, blobs, cols).collect()} for m in (cut, short)
+    )
+    assert one == two
+
+
 def test_split_of_very_many_classes(spark):
     rows = [(f"{label}-{i}", label) for label in range(150) for i in range(5)]
     df = spark.createDataFrame(rows, "k string, y int")
