@@ -41,71 +41,67 @@ def agg_customer(
 ) -> DataFrame:
     """Ticket behaviour per customer (18 measures) from one pass over the fact.
 
-    Tickets are first reduced to (customer, event, channel, section) cells with additive measures,
-    map-side. The cells are dealt out by customer once; the first cell of an event or channel and
-    the commonest section are then marked inside that partitioning, so distinct counts and the
-    mode become sums in the one aggregation that follows. With ``events`` the phase is that of the
-    event, joined to the cells, else the ticket's own.
+    Each ticket counts for its customer and once more for its event, channel and section. A first hash
+    aggregation, combined map-side and spread by (customer, what, value), leaves one row per value; a
+    second one per customer adds up the measures, counts the events and channels and picks the
+    commonest section. Nothing is sorted and a hot customer is spread over tasks until its values are
+    single rows. With ``events`` the phase is that of the event, else the ticket's own.
     """
     reference = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
-    own_phase = ["season_phase"] if events is None else []
-    cells = fact.groupBy(key, "game_id", "purchase_channel", "section_tier", *own_phase).agg(
-        F.sum("ticket_price").alias("spend"), F.count("ticket_price").alias("priced"),
-        F.max("ticket_price").alias("top_price"), F.count("ticket_id").alias("tickets"),
-        F.count(F.lit(1)).alias("rows"), F.max("game_date").alias("last_date"),
-        count_where("is_promo_ticket").alias("promo"),
-        count_where("is_advance_purchase").alias("advance"),
-        F.sum("days_before_game").alias("lead_days"), F.count("days_before_game").alias("lead_rows"),
-        F.sum("seat_tier_rank").alias("ranks"), F.count("seat_tier_rank").alias("ranked"),
-        any_flag("is_jersey_night_game").alias("jersey"),
-        any_flag("is_lapsed_reactivation").alias("lapsed"),
-    )
     if events is not None:
-        phases = events.select("game_id", "season_phase").dropDuplicates(["game_id"])
-        cells = cells.join(phases, "game_id", "left")
-    dealt = cells.repartition(key)
-    cell = ["game_id", "purchase_channel", "section_tier", "season_phase"]
-
-    def first(column: str) -> Column:
-        order = Window.partitionBy(key, column).orderBy(*[c for c in cell if c != column])
-        return (F.row_number().over(order) == 1) & F.col(column).isNotNull()
-
-    in_section = Window.partitionBy(key, "section_tier")
-    per_section = F.when(F.col("section_tier").isNotNull(), F.sum("rows").over(in_section))
-    commonest = Window.partitionBy(key).orderBy(
-        F.desc_nulls_last("section_rows"), "section_tier", "game_id", "purchase_channel", "season_phase"
-    )
-    marked = (
-        dealt.withColumns(
-            {"new_game": first("game_id"), "new_channel": first("purchase_channel"), "section_rows": per_section}
-        )
-        .withColumn("usual", F.row_number().over(commonest) == 1)
+        phases = events.select("game_id", F.col("season_phase").alias("_phase")).dropDuplicates(["game_id"])
+        fact = fact.join(phases, "game_id", "left").drop("season_phase").withColumnRenamed("_phase", "season_phase")
+    whole, event, channel, section = 0, 1, 2, 3
+    counted = [(whole, F.lit(None)), (event, F.col("game_id")), (channel, F.col("purchase_channel")), (section, F.col("section_tier"))]
+    kinds = F.array(*[
+        F.struct(F.lit(kind).alias("_kind"), value.cast("string").alias("_value")) for kind, value in counted
+    ])
+    once = F.col("_kind") == whole
+
+    def own(column: str) -> Column:
+        return F.when(once, F.col(column))
+
+    phase_flags = {f"{p}_buyer": F.col("season_phase") == p for p in ("hot_start", "slump", "late_push")}
+    flags = {
+        "jersey_night_attendee": F.col("is_jersey_night_game"), "was_lapsed_reactivation": F.col("is_lapsed_reactivation"),
+        **phase_flags,
+    }
+    values = fact.select("*", F.inline(kinds)).groupBy(key, "_kind", "_value").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.sum(own("ticket_price")).alias("spend"), F.count(own("ticket_price")).alias("priced"),
+        F.max("ticket_price").alias("top_price"), F.count(own("ticket_id")).alias("tickets"),
+        F.max("game_date").alias("last_date"),
+        count_where(own("is_promo_ticket")).alias("promo"), count_where(own("is_advance_purchase")).alias("advance"),
+        F.sum(own("days_before_game")).alias("lead_days"), F.count(own("days_before_game")).alias("lead_rows"),
+        F.sum(own("seat_tier_rank")).alias("ranks"), F.count(own("seat_tier_rank")).alias("ranked"),
+        *[any_flag(cond).alias(name) for name, cond in flags.items()],
     )
 
     def ratio(total: str, count: str, digits: int) -> Column:
         return round_to(F.sum(total).cast("double") / F.nullif(F.sum(count), F.lit(0)), digits)
 
-    return marked.groupBy(key).agg(
+    def known(kind: int) -> Column:
+        return (F.col("_kind") == kind) & F.col("_value").isNotNull()
+
+    rows = F.sum(F.when(once, F.col("_rows")))
+    commonest = F.min(F.when(known(section), F.struct((-F.col("_rows")).alias("n"), F.col("_value").alias("section"))))
+    summed = values.groupBy(key).agg(
         round_to(F.sum("spend"), 2).alias("total_spend"),
         ratio("spend", "priced", 2).alias("avg_ticket_price"),
         round_to(F.max("top_price"), 2).alias("max_ticket_price"),
         F.sum("tickets").alias("total_tickets"),
         days_between(reference, F.max("last_date")).alias("days_since_last"),
         F.sum("promo").alias("promo_tickets"),
-        ratio("promo", "rows", 4).alias("promo_rate"),
+        round_to(F.sum("promo").cast("double") / F.nullif(rows, F.lit(0)), 4).alias("promo_rate"),
         F.sum("advance").alias("advance_purchases"),
         ratio("lead_days", "lead_rows", 1).alias("avg_days_before_game"),
         ratio("ranks", "ranked", 2).alias("avg_seat_tier_rank"),
-        F.bool_or("jersey").alias("jersey_night_attendee"),
-        F.bool_or("lapsed").alias("was_lapsed_reactivation"),
-        *[
-            any_flag(F.col("season_phase") == phase).alias(f"{phase}_buyer")
-            for phase in ("hot_start", "slump", "late_push")
-        ],
-        count_where("new_game").alias("games_attended"),
-        count_where("new_channel").alias("channels_used"),
-        F.max(F.when(F.col("usual"), F.col("section_tier"))).alias("preferred_section"),
+        *[F.bool_or(name).alias(name) for name in flags],
+        F.count_if(known(event)).alias("games_attended"),
+        F.count_if(known(channel)).alias("channels_used"),
+        commonest.alias("_commonest"),
     )
+    return summed.withColumn("preferred_section", F.col("_commonest.section")).drop("_commonest")
 
 
 def agg_customer_promo(promo: DataFrame, key: str = "customer_id") -> DataFrame:

@@ -16,7 +16,6 @@ from ..functions import (
     pct,
     round_to,
 )
-from ..operators.grouping import distinct_count_by
 from ..operators.joins import left_join_then_profile, star_join
 from ..operators.ordering import order_by, project_after, top_k
 from ..operators.quality import checks_from, null_counts, scorecard
@@ -102,40 +101,46 @@ def val_bronze_checks(
 def val_phase_profile(fact: DataFrame, events: DataFrame, phase_of: str = "ticket") -> DataFrame:
     """Season story per phase, in season order; tickets without a known event are left out.
 
-    The phase is the ticket's own, or with ``phase_of="event"`` that of its event. Tickets are first
-    reduced to one row per event and phase, buyers to distinct (event, phase, customer); only those
-    meet the events.
+    The phase is the ticket's own, or with ``phase_of="event"`` that of its event. One scan reduces the
+    tickets to (event, phase, customer) cells with additive measures. Each known cell then counts
+    twice in one expanded aggregation: with its measures for the event, without them for the
+    customer, whose distinct pairs with the phase are the buyers.
     """
     keys = ["game_id", "season_phase"] if phase_of == "ticket" else ["game_id"]
     known_events = events.select(
         "game_id", "game_number", "arena_fill_pct", *(["season_phase"] if phase_of == "event" else [])
     )
-    by_event = fact.groupBy(*keys).agg(
+    cells = fact.groupBy(*keys, KEY).agg(
         n_rows().alias("tickets"),
         F.sum(_money("ticket_price")).alias("revenue"),
         F.count("ticket_price").alias("priced"),
         count_where("is_promo_ticket").alias("promo"),
     )
-    known = by_event.join(known_events, "game_id")
+    known = cells.join(known_events, "game_id")
+    of_event = F.struct(F.col("game_id").alias("event"), F.lit(None).cast("string").alias("buyer"), F.lit(1).alias("copy"))
+    of_buyer = F.struct(F.lit(None).cast("string").alias("event"), F.col(KEY).cast("string").alias("buyer"), F.lit(0).alias("copy"))
+    expanded = known.select("*", F.inline(F.array(of_event, of_buyer)))
+
+    def measure(column: str) -> Column:
+        return F.sum(F.when(F.col("copy") == 1, F.col(column))).alias(column)
+
+    pairs = expanded.groupBy("season_phase", "event", "buyer", "copy").agg(
+        *[measure(c) for c in ("tickets", "revenue", "priced", "promo")],
+        F.min("game_number").alias("game_number"), F.first("arena_fill_pct").alias("arena_fill_pct"),
+    )
     tickets = F.sum("tickets")
     fill = F.sum(F.col("arena_fill_pct").cast("decimal(12,8)") * F.col("tickets").cast("decimal(20,0)"))
-    story = known.groupBy("season_phase").agg(
-        F.count_distinct("game_id").alias("games"),
+    story = pairs.groupBy("season_phase").agg(
+        F.sum("copy").alias("games"),
         tickets.alias("total_tickets"),
         round_to(F.sum("revenue").cast("double") / F.nullif(F.sum("priced"), F.lit(0)), 2).alias("avg_ticket_price"),
         round_to(F.sum("promo") * F.lit(100.0) / tickets, 1).alias("promo_rate_pct"),
         round_to(F.sum("revenue"), 2).alias("total_revenue"),
         round_to(fill.cast("double") / tickets * 100, 1).alias("avg_fill_pct"),
         F.min("game_number").alias("_first"),
+        F.count("buyer").alias("unique_buyers"),
     )
-    seen = fact.select(*keys, KEY).distinct().join(
-        known_events.drop("game_number", "arena_fill_pct"), "game_id"
-    )
-    buyers = distinct_count_by(seen, "season_phase", KEY, "unique_buyers").withColumnRenamed(
-        "season_phase", "_phase"
-    )
-    joined = story.join(buyers, F.col("season_phase").eqNullSafe(F.col("_phase"))).drop("_phase")
-    return project_after(joined, "_first")
+    return project_after(story, "_first")
 
 
 def val_event_snapshot(
