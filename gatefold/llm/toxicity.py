@@ -27,7 +27,6 @@ from .common import picked, stored_copy, utf8
 # Bounds of the training sample: rows are taken by a hash of their id, about so many of each kind.
 MAX_POSITIVES = 20_000
 MAX_UNLABELLED = 40_000
-MAX_FEATURES = 8192
 MIN_POSITIVES = 3  # training positives that must hold a feature
 # A feature that only toxic texts hold has a lift of 1 / prior over the unlabelled rows, as these
 # hold that share of toxic texts themselves; this part of it is asked for.
@@ -105,6 +104,12 @@ def _sampled(df: DataFrame, fraction: float) -> DataFrame:
     return df.where(share < fraction) if fraction < 1 else df
 
 
+def _one_per_id(rows: DataFrame) -> DataFrame:
+    """One text per id, the least by its hash: the sample is bounded by ids, not by their rows."""
+    order = F.struct(F.xxhash64("text"), "text")
+    return rows.groupBy("doc_id").agg(F.min_by("text", order).alias("text"))
+
+
 def training_rows(
     docs: DataFrame, labels: DataFrame, max_positives: int, max_unlabelled: int
 ) -> tuple[DataFrame, float, int]:
@@ -120,15 +125,16 @@ def training_rows(
     n = named.agg(
         F.count(F.lit(1)).alias("all"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")
     ).first()
-    positives = _sampled(
-        named.where("toxic = 1").select("doc_id"), max_positives / max(1, n.toxic)
-    ).select("doc_id", F.lit(True).alias("positive"))
     rows = docs.where(F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 0))
+    # The ids are as many as max_positives allows: only they move, the texts stay where they are.
+    share = max_positives / max(1, n.toxic)
+    wanted = stored_copy(_sampled(named.where("toxic = 1").select("doc_id"), share), "toxicity-ids")
+    positives = _sampled(rows, share).join(F.broadcast(wanted), "doc_id", "left_semi")
     # The risk estimator needs unlabelled rows that hold toxic texts at the rate of the prior:
     # all training documents, their labels unseen.
     unlabelled = _sampled(rows, max_unlabelled / max(1, rows.count()))
-    sample = rows.join(positives, "doc_id").unionByName(
-        unlabelled.withColumn("positive", F.lit(False))
+    sample = _one_per_id(positives).withColumn("positive", F.lit(True)).unionByName(
+        _one_per_id(unlabelled).withColumn("positive", F.lit(False))
     )
     return sample, (n.toxic + 0.5) / (n["all"] + 1.0), int(n.toxic)
 
@@ -180,7 +186,6 @@ def fit(
     labels: DataFrame,
     max_positives: int = MAX_POSITIVES,
     max_unlabelled: int = MAX_UNLABELLED,
-    max_features: int = MAX_FEATURES,
     doc_id: str = "doc_id",
     text: str = "text",
     toxic: str = "toxic",
@@ -188,7 +193,8 @@ def fit(
     """Train on at most about ``max_positives`` toxic and ``max_unlabelled`` other documents.
 
     Without a single toxic training document the model has no features and scores everything low.
-    Null labels and null ids are left out; an id labelled twice is toxic if one label says so.
+    Null labels and null ids are left out; an id labelled twice is toxic if one label says so; of
+    several texts of one id one is learnt from.
     """
     sample, prior, n_toxic = training_rows(
         picked(docs, doc_id=doc_id, text=text),
@@ -211,14 +217,13 @@ def fit(
         return Model({}, -4.0, prior)
     expected = F.lit(float(n_p)) * (F.col("u") + 0.5) / (n_u + 1.0)
     surprise = F.col("p") * F.log(F.col("p") / F.col("expected")) - (F.col("p") - F.col("expected"))
-    # The most telling features: a bounded list by construction.
+    # The telling features: no more than the bounded sample holds.
     best = (
         counts.withColumn("expected", expected)
         .where(F.col("p") * prior >= MIN_LIFT_SHARE * F.col("expected"))
         .withColumn("surprise", surprise)
         .where(F.col("surprise") >= MIN_SURPRISE)
         .orderBy(F.desc("surprise"), "feature")
-        .limit(max_features)
         .select("feature")
         .collect()
     )
