@@ -63,3 +63,66 @@ def test_no_cartesian_or_nested_loop_and_no_python(spark, name):
     shape = plan(catalog.queries()[name](spark, SF))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
         assert operator not in shape
+
+
+def test_heavy_keys_are_spread_without_adaptive_splitting(spark):
+    """A key with a third of all rows is dealt over many tasks, and no row is lost or doubled."""
+    from gatefold.operators.joins import salted_join
+
+    fact = spark.range(6000).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id")).cast("int").alias("k")
+    )
+    dim = spark.range(4000).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("twice"))
+    wanted = {how: fact.join(dim, "k", how) for how in ("inner", "left")}
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how, plain in wanted.items():
+            made = salted_join(fact, dim, ["k"], spread=["id"], how=how, heavy_rows=100)
+            assert made.select(plain.columns).exceptAll(plain).count() == 0 == plain.exceptAll(made.select(plain.columns)).count()
+        tasks = made.select("k", F.spark_partition_id().alias("p")).where("k = 7").groupBy("p").count().collect()
+        assert len(tasks) > 1 and max(r["count"] for r in tasks) < 2000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+    assert salted_join(fact.limit(0), dim, ["k"], how="left").count() == 0
+
+
+def test_phase_story_scans_the_fact_once(spark, tmp_path):
+    from gatefold.plans.validation import val_phase_profile
+
+    rows = [(f"e{i % 4}", ["hot", "slump"][i % 2], f"c{i % 5}", 2.5 * i, i % 3 == 0) for i in range(40)]
+    path = str(tmp_path / "fact")
+    spark.createDataFrame(rows, "game_id string, season_phase string, customer_id string, ticket_price double, is_promo_ticket boolean").write.parquet(path)
+    events = spark.createDataFrame([(f"e{i}", i, 0.5 + i / 10) for i in range(3)], "game_id string, game_number int, arena_fill_pct double")
+    story = val_phase_profile(spark.read.parquet(path), events)
+    plan = story._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    got = {r.season_phase: (r.games, r.total_tickets, r.unique_buyers) for r in story.collect()}
+    assert got == {"hot": (2, 20, 5), "slump": (1, 10, 5)}
+
+
+def test_customer_measures_need_no_window(spark):
+    from gatefold.operators.grouping import agg_customer
+
+    columns = (
+        "customer_id string, game_id string, purchase_channel string, section_tier string, season_phase string, "
+        "ticket_id string, ticket_price decimal(18,4), game_date date, is_promo_ticket boolean, is_advance_purchase boolean, "
+        "days_before_game int, seat_tier_rank int, is_jersey_night_game boolean, is_lapsed_reactivation boolean"
+    )
+    from datetime import date
+    from decimal import Decimal
+
+    def ticket(c, g, ch, s, price):
+        return (c, g, ch, s, "slump", f"{c}{g}{ch}{s}", Decimal(price), date(2024, 1, 5), True, False, 3, 4, False, None)
+
+    rows = [ticket("a", "g1", "web", "B", 10), ticket("a", "g1", "web", "A", 20), ticket("a", "g2", None, "B", 30), ticket("a", None, "app", "A", 40), ticket(None, "g1", "web", None, 5)]
+    made = agg_customer(spark.createDataFrame(rows, columns), "2024-01-10")
+    assert "Window" not in made._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.customer_id: r for r in made.collect()}
+    a = got["a"]
+    assert (a.games_attended, a.channels_used, a.preferred_section, a.total_tickets) == (2, 2, "A", 4)
+    assert (float(a.total_spend), a.days_since_last, a.promo_rate, a.slump_buyer, a.hot_start_buyer) == (100.0, 5, 1.0, True, False)
+    assert (got[None].preferred_section, got[None].games_attended) == (None, 1)
