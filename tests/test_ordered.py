@@ -215,3 +215,23 @@ def test_means_of_any_size(spark, values, mean):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     got = summary_stats(df, ["x"]).first().mean
     assert got != got if mean is None else got == pytest.approx(mean)
+
+
+def test_slices_follow_the_number_of_rows(spark, monkeypatch):
+    from gatefold.operators import prefix
+
+    sizes, real = [], prefix._sliced
+
+    def seen(df):
+        made = real(df)
+        sizes.append([r["count"] for r in made.groupBy("_slice").count().collect()])
+        return made
+
+    monkeypatch.setattr(prefix, "_sliced", seen)
+    rows = spark.range(3000).select(F.col("id").alias("at"), F.lit("hot").alias("g"), F.lit(1).cast("long").alias("one"))
+    made = prefix.prefix_sums(rows, ["g"], ["at"], ["one"], slice_rows=100)
+    assert made.where("one_before <> at OR one_total <> 3000").count() == 0 and made.count() == 3000
+    assert len(sizes) == 2 and max(sizes[0]) > 300 > max(sizes[1]) and len(sizes[1]) >= 25
+    sizes.clear()
+    assert prefix.prefix_sums(rows.limit(50), ["g"], ["at"], ["one"]).count() == 50 and len(sizes) == 1
+    assert prefix.prefix_sums(rows.limit(0), [], ["at"], ["one"]).count() == 0
