@@ -34,11 +34,29 @@ def shown(row):
     return tuple(None if isinstance(v, float) and math.isnan(v) else v for v in row)
 
 
+# Rows of fitted models, which SQL cannot restate.
+FITTED = {"ml_churn_table", "ml_importances_fitted", "ml_segments_fitted"}
+
+
 def test_every_key_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
     # the optional training-data operators have tests of their own where SQL cannot restate them
     optional = [n for n in QUERIES if n == "pipeline" or re.match(r"op\d+_", n)]
-    assert set(QUERIES) - set(optional) <= set(ORACLE)
+    assert set(QUERIES) - set(optional) - FITTED <= set(ORACLE)
+
+
+def test_tables_of_fitted_models(spark):
+    """One row per customer or input: probabilities with fitting tiers, named clusters, shares."""
+    customers = QUERIES["mart_fan_features"](spark, SF).select("customer_id").toPandas().customer_id
+    scores = QUERIES["ml_churn_table"](spark, SF).toPandas()
+    assert sorted(scores.customer_id) == sorted(customers) and scores.churn_probability.between(0, 1).all()
+    assert set(scores[scores.churn_probability < 0.4].risk_tier) <= {"Low"}
+    assert set(scores[scores.churn_probability > 0.7].risk_tier) <= {"High"}
+    segments = QUERIES["ml_segments_fitted"](spark, SF).toPandas()
+    assert sorted(segments.customer_id) == sorted(customers) and (segments.distance_to_centroid >= 0).all()
+    assert segments.groupby("segment_id").segment_label.nunique().eq(1).all() and segments.segment_label.notna().all()
+    shares = QUERIES["ml_importances_fitted"](spark, SF).toPandas()
+    assert len(shares) == 17 and shares.importance.sum() == pytest.approx(1) and shares.importance.is_monotonic_decreasing
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
