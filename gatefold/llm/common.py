@@ -25,6 +25,17 @@ def picked(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores in front until no column of ``df`` has it."""
+    taken, free = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        free.append(name)
+    return free
+
+
 def stored_copy(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back.
 

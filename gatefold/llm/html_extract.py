@@ -3,7 +3,8 @@
 Every page scores its containers and names them by a generalised path of tags and classes. Spark
 adds the scores up per host and path; the path with the most votes wins. A second pass over the
 pages extracts the text below the winning path of their host, or below the page's own best container
-where the path does not occur.
+where the path does not occur. A path names five levels and up to three classes each, numbers as ``#``:
+unlike containers of one path are voted on, and extracted, together.
 """
 
 from __future__ import annotations
@@ -62,8 +63,12 @@ LAYOUT = WHOLE | frozenset(
     "nav navbar navigation menu menubar sidebar widget footer masthead topbar toolbar banner search modal "
     "overlay skip toc".split()
 )
-# Kinds of furniture: layout can hold the article, matter such as comments or ads hardly, hidden never.
-LAYOUT_KIND, MATTER, HARD = 1, 2, 3
+# Kinds of furniture: layout can hold the article, matter such as ads hardly, readers' comments only within
+# an article or main of its own, hidden never.
+LAYOUT_KIND, MATTER, READERS, HARD = 1, 2, 3, 4
+# Words of what readers wrote, and words that make such a name tell a state of the page instead.
+READER_WORDS = frozenset("comment comments commentlist disqus respond replies reply discussion".split())
+STATE_WORDS = frozenset("open closed enabled disabled allowed has no with without on off".split())
 NOISE_ROLES = frozenset(
     "navigation banner contentinfo complementary search menu menubar toolbar dialog alert alertdialog "
     "form".split()
@@ -85,12 +90,21 @@ _LINE = "\n"
 class Node:
     """An element: tag, parent, generalised label, its kind of furniture and whether it is taken as such."""
 
-    __slots__ = ("tag", "parent", "label", "kind", "hard", "noise", "heading", "order")
+    __slots__ = ("tag", "parent", "label", "kind", "hard", "noise", "heading", "order", "block", "box",
+                 "article", "main", "inside", "cut")
 
     def __init__(self, tag, parent, label, kind, order):
         self.tag, self.parent, self.label, self.kind, self.order = tag, parent, label, kind, order
         self.hard = kind == HARD or (parent is not None and parent.hard)
         self.noise, self.heading = False, False
+        # nearest elements of a sort, the node included, so that nothing has to climb for them
+        self.block = self if tag in BLOCKS or parent is None else parent.block
+        self.box = self if tag in CONTAINERS else parent.box if parent is not None else None
+        self.article = self if tag == "article" else parent.article if parent is not None else None
+        self.main = self if tag == "main" else parent.main if parent is not None else None
+        # within an article or main, and below a page header, which _join finds
+        self.inside = parent is not None and (parent.inside or parent.tag in ("article", "main"))
+        self.cut = False
 
     def path(self) -> str:
         labels, node = [], self
@@ -111,9 +125,11 @@ def _kind_of(names: list[str]) -> int:
     """Kind of furniture that class names and an id stand for, 0 for none."""
     kind = 0
     for name in names:
-        for w in _WORDS.findall(name):
-            w = w.lower()
-            if w in NOISE and (w not in WHOLE or w == name.lower()):
+        words = [w.lower() for w in _WORDS.findall(name)]
+        for w in words:
+            if w in READER_WORDS and not STATE_WORDS.intersection(words):
+                kind = READERS
+            elif w in NOISE and (w not in WHOLE or w == name.lower()):
                 kind = max(kind, LAYOUT_KIND if w in LAYOUT else MATTER)
     return kind
 
@@ -163,14 +179,14 @@ class Page:
         """Decide what is furniture, now that the whole page is known, and put the blocks together.
 
         Layout that holds most of the text is none. No layout covers an article or main, matter no main,
-        nor the only articles there are; if nothing is left, only hidden and never-article elements are
-        furniture.
+        nor the only articles there are; if nothing is left, only hidden and never-article elements and
+        readers' comments are furniture.
         """
         held = [0] * len(self.nodes)
         matter = [False] * len(self.nodes)
         for node in self.nodes:
             above = node.parent is not None and node.tag != "main" and matter[node.parent.order]
-            matter[node.order] = node.kind == MATTER or above
+            matter[node.order] = node.kind in (MATTER, READERS) or above
         for pieces, _ in self._pieces:
             for value, node, links in pieces:
                 if not matter[node.order]:
@@ -182,10 +198,10 @@ class Page:
             taken = [0] * len(self.nodes)
             for node in self.nodes:
                 kind = node.kind
-                if kind < HARD and not soft or kind == LAYOUT_KIND and 2 * held[node.order] > held[0]:
+                if kind < READERS and not soft or kind == LAYOUT_KIND and 2 * held[node.order] > held[0]:
                     kind = 0
                 above = taken[node.parent.order] if node.parent is not None else 0
-                if above == LAYOUT_KIND and node.tag in ("article", "main") or above == MATTER and (
+                if above == LAYOUT_KIND and node.tag in ("article", "main") or above in (MATTER, READERS) and (
                     node.tag == "main" or node.tag == "article" and article_in_matter
                 ):
                     above = 0
@@ -204,13 +220,12 @@ class Page:
         """Lines of text outside furniture, and the elements with a heading."""
         self.blocks = []
         for node in self.nodes:
-            node.heading = False
+            node.heading = node.tag in ("h1", "h2") and not node.noise
+        for node in reversed(self.nodes[1:]):
+            node.parent.heading = node.parent.heading or node.heading
         for node in self.nodes:
-            if node.tag in ("h1", "h2") and not node.noise:
-                above = node
-                while above is not None and not above.heading:
-                    above.heading = True
-                    above = above.parent
+            page_header = node.tag == "header" and not (node.heading and node.inside)
+            node.cut = page_header or (node.parent is not None and node.parent.cut)
         for pieces, holder in self._pieces:
             shown = [p for p in pieces if not p[1].noise]
             line = _SPACE.sub(" ", "".join(p[0] for p in shown)).strip()
@@ -221,27 +236,35 @@ class Page:
         root = Node("html", None, "html", 0, 0)
         self.nodes.append(root)
         stack, text = [root], []
-        open_tags = {"html": 1}
+        # places in the stack by tag, and of all blocks, so that no tag has to search it
+        places: dict[str, list[int]] = {"html": [0]}
+        blocks = [0]
+
+        def last(tag: str) -> int:
+            found = places.get(tag)
+            return found[-1] if found else -1
+
+        def push(node: Node):
+            places.setdefault(node.tag, []).append(len(stack))
+            if node.tag in BLOCKS:
+                blocks.append(len(stack))
+            stack.append(node)
 
         def flush():
             nonlocal text
             if text:
-                self._pieces.append((text, holder()))
+                self._pieces.append((text, stack[-1].block))
                 text = []
 
-        def holder():
-            for node in reversed(stack):
-                if node.tag in BLOCKS:
-                    return node
-            return root
-
         def pop(depth: int):
             for node in stack[depth:]:
-                open_tags[node.tag] -= 1
+                places[node.tag].pop()
+                if node.tag in BLOCKS:
+                    blocks.pop()
             del stack[depth:]
 
         def inside_link() -> bool:
-            return open_tags.get("a", 0) > 0
+            return last("a") >= 0
 
         def add(raw: str):
             if not raw or stack[-1].hard:
@@ -267,13 +290,11 @@ class Page:
             if ending:
                 if tag == "br":
                     add(" ")
-                elif open_tags.get(tag):
+                elif last(tag) >= 0:
                     if block:
                         flush()
-                    depth = len(stack) - 1
-                    while stack[depth].tag != tag:
-                        depth -= 1
-                    if any(n.tag in BLOCKS for n in stack[depth + 1 :]) and not block:
+                    depth = last(tag)
+                    if blocks[-1] > depth and not block:
                         continue  # a stray inline end tag does not close blocks
                     if depth:
                         pop(depth)
@@ -286,18 +307,12 @@ class Page:
                 continue
             if block:
                 flush()
-                if tag in CLOSES_P and open_tags.get("p"):
-                    depth = len(stack) - 1
-                    while stack[depth].tag != "p":
-                        depth -= 1
-                    if not any(n.tag in BLOCKS for n in stack[depth + 1 :]):
-                        pop(depth)
+                if tag in CLOSES_P and stack[blocks[-1]].tag == "p":
+                    pop(blocks[-1])
                 if tag in CLOSES:
                     closed, limits = CLOSES[tag]
-                    depth = len(stack) - 1
-                    while depth > 0 and stack[depth].tag not in closed and stack[depth].tag not in limits:
-                        depth -= 1
-                    if stack[depth].tag in closed:
+                    depth = max(map(last, closed))
+                    if depth > max(map(last, limits)):
                         pop(depth)
             if tag in VOID:
                 continue
@@ -305,89 +320,80 @@ class Page:
                 close = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*>?", re.I).search(source, at)
                 at = close.end() if close else size
                 continue
-            if tag == "a" and open_tags.get("a"):
-                depth = len(stack) - 1
-                while stack[depth].tag != "a":
-                    depth -= 1
-                if not any(n.tag in BLOCKS for n in stack[depth + 1 :]):
-                    pop(depth)
-            if tag == "html" or tag == "body" and open_tags.get("body"):
+            if tag == "a" and last("a") > blocks[-1]:
+                pop(last("a"))
+            if tag == "html" or tag == "body" and last("body") >= 0:
                 continue
-            if tag == "body" and open_tags.get("head"):
-                depth = len(stack) - 1
-                while stack[depth].tag != "head":
-                    depth -= 1
-                pop(depth)
+            if tag == "body" and last("head") >= 0:
+                pop(last("head"))
             if not attrs.rstrip().endswith("/") or tag not in ("svg", "path"):
-                stack.append(self._open(tag, stack[-1], attrs))
-                open_tags[tag] = open_tags.get(tag, 0) + 1
+                push(self._open(tag, stack[-1], attrs))
         flush()
 
-    def usable(self, node: Node, top: Node | None) -> bool:
+    @staticmethod
+    def usable(node: Node) -> bool:
         """Is the block's text outside furniture and outside page headers?
 
         A ``header`` element counts as article text only inside the container and with a heading.
         """
-        inside = top is None
-        if node.noise:
-            return False
-        while node is not None:
-            if node.tag == "header" and not (node.heading and self._in_article(node)):
-                return False
-            inside = inside or node is top
-            node = node.parent
-        return inside
-
-    @staticmethod
-    def _in_article(node: Node) -> bool:
-        node = node.parent
-        while node is not None:
-            if node.tag in ("article", "main"):
-                return True
-            node = node.parent
-        return False
+        return not node.noise and not node.cut
 
     def containers(self) -> list[tuple[Node, float]]:
         """Containers with their scores: text outside links in full for the nearest container,
-        half for the next one up, so that the tightest element around the article wins. Where no
-        text is in a container, the page is one."""
+        half for the next one up, so that the tightest element around the article wins, which is then
+        lifted to the element that holds the whole article. Where no text is in a container, the page
+        is one."""
         scores: dict[int, float] = {}
         whole = 0.0
         for line, node, links in self.blocks:
-            if not self.usable(node, None):
+            if not self.usable(node):
                 continue
             value = float(max(0, len(line) - 2 * links))
             if not value:
                 continue
             whole += value
-            share, near = 1.0, node
+            share, near = 1.0, node.box
             while near is not None and share > 0.2:
-                if near.tag in CONTAINERS:
-                    scores[near.order] = scores.get(near.order, 0.0) + share * value
-                    share /= 2
-                near = near.parent
-        found = []
+                scores[near.order] = scores.get(near.order, 0.0) + share * value
+                share /= 2
+                near = near.parent.box if near.parent is not None else None
         if not scores and whole:
             scores[0] = whole
-        for order, value in scores.items():
-            found.append((self._lifted(self.nodes[order]), value))
+        lifted = self._lifted()
         merged: dict[int, float] = {}
-        for node, value in found:
-            merged[node.order] = max(merged.get(node.order, 0.0), 0.0) + value
+        for order, value in scores.items():
+            node = lifted[order]
+            merged[node.order] = merged.get(node.order, 0.0) + value
         return [(self.nodes[o], v) for o, v in merged.items()]
 
-    @staticmethod
-    def _lifted(node: Node) -> Node:
-        """The article element around a container, if there is one, else main, else itself."""
-        seen, best = node, node
-        main = None
-        while seen is not None:
-            if seen.tag == "article":
-                return seen
-            if seen.tag == "main" and main is None:
-                main = seen
-            seen = seen.parent
-        return main or best
+    def _lifted(self) -> list[Node]:
+        """For every element the one that holds its whole article: the article around it, else main, else
+        the highest container that it is a part of.
+
+        A container is a part of the next one up if that one has a heading where it has none, or a fifth
+        more text outside links, and if most of what is added is no links. The body is such a whole only
+        if a heading stands in it directly.
+        """
+        plain, linked = [0] * len(self.nodes), [0] * len(self.nodes)
+        for line, node, links in self.blocks:
+            if self.usable(node):
+                plain[node.order] += max(0, len(line) - links)
+                linked[node.order] += links
+        for node in reversed(self.nodes[1:]):
+            plain[node.parent.order] += plain[node.order]
+            linked[node.parent.order] += linked[node.order]
+        titled = {n.parent.order for n in self.nodes if n.tag in ("h1", "h2") and self.usable(n)}
+        whole: list[Node] = []
+        for node in self.nodes:
+            above = node.parent.box if node.parent is not None else None
+            if node.article is not None or node.main is not None or node.box is not node or above is None:
+                whole.append(node.article or node.main or node)
+                continue
+            more = plain[above.order] - plain[node.order]
+            part = above.heading and not node.heading or 5 * more >= plain[node.order]
+            part = part and more > 2 * (linked[above.order] - linked[node.order])
+            whole.append(whole[above.order] if part and (above.tag != "body" or above.order in titled) else node)
+        return whole
 
     def votes(self) -> dict[str, float]:
         """Best score per generalised path, of all containers."""
@@ -407,13 +413,10 @@ class Page:
         if not hit:
             tops = [max(scored, key=lambda x: (x[1], -x[0].order))[0]]
         wanted = {node.order for node in tops}
-        lines = []
-        for line, node, _ in self.blocks:
-            seen = node
-            while seen is not None and seen.order not in wanted:
-                seen = seen.parent
-            if seen is not None and self.usable(node, seen):
-                lines.append(line)
+        below = [False] * len(self.nodes)
+        for node in self.nodes:
+            below[node.order] = node.order in wanted or (node.parent is not None and below[node.parent.order])
+        lines = [line for line, node, _ in self.blocks if below[node.order] and self.usable(node)]
         return _LINE.join(lines), hit
 
 

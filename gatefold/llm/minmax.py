@@ -238,7 +238,8 @@ def near_duplicates(
     Two documents are linked if ``denominator * |intersection| >= numerator * |union|`` of their
     distinct shingles (5 words, A-Z lowered; a shorter text is one shingle). ``component_id`` is the
     smallest id reachable over links, ``kept`` marks that document. Null, empty and blank texts have no
-    shingles and link to nothing. Rows with the same id are one document. A row without id is its
+    shingles and link to nothing. Rows with the same id are one document
+    with the links of all its texts. A row without id is its
     own: null component, kept. Other input columns are ignored. Ties do not arise: ids order
     everything.
     """
@@ -255,6 +256,12 @@ def near_duplicates(
         "minmax-nodes",
     )
     small = nodes.drop("bands")
+    # an id with several sets is one document: their representatives are linked
+    of_id = linkable.join(sets, ["set_hi", "set_lo"]).select("doc_id", "rep")
+    several = of_id.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("top")).where("a < top")
+    same_id = (
+        of_id.join(several, "doc_id").where("a <> rep").select("a", F.col("rep").alias("b")).distinct()
+    )
     keyed = nodes.select("id", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
     members = stored_copy(
@@ -284,7 +291,7 @@ def near_duplicates(
     # Hubs: each bucket's smallest id, then a pseudo-random member of what is still apart.
     hubs = members.groupBy("key").agg(F.min("id").alias("a"))
     first = members.join(hubs, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    links = stored_copy(confirm(first), "minmax-links")
+    links = stored_copy(confirm(first).unionByName(same_id), "minmax-links")
     labels = connected_components(links, "a", "b")
     for turn in range(1, HUB_ROUNDS):
         left = apart(labels)

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, picked, stored_copy
+from .common import WORD, fresh, picked, stored_copy
 
 MAX_REPEATS = 2.0
 # The exponent is a multiple of 1 / GRID; every round splits the bracket FAN ways.
@@ -177,15 +177,16 @@ def mix(
         "rank", _rank(F.col("doc_id"), F.col("whole") + 1)
     )
     cuts = stored_copy(cut_points(ranked), "mixing-cuts").withColumnRenamed("source_key", "cut_key")
+    named = docs.drop("block", "block_rank")
+    key, whole, last = fresh(named, "key", "whole", "last")
     limits = plan.join(cuts, plan.source_key == cuts.cut_key, "left").select(
-        F.col("source_key").alias("_key"), F.col("whole").alias("_whole"), F.col("last").alias("_last")
+        F.col("source_key").alias(key), F.col("whole").alias(whole), F.col("last").alias(last)
     )
-    named = docs.drop("block", "block_rank")
-    joined = named.join(limits, _key(F.col(f"`{source}`").cast("string")) == F.col("_key"))
-    extra = F.coalesce(_rank(F.col(f"`{doc_id}`"), F.col("_whole") + 1) <= F.col("_last"), F.lit(False))
-    blocks = F.sequence(F.lit(1).cast("long"), F.col("_whole") + extra.cast("long"))
+    joined = named.join(limits, _key(F.col(f"`{source}`").cast("string")) == F.col(key))
+    extra = F.coalesce(_rank(F.col(f"`{doc_id}`"), F.col(whole) + 1) <= F.col(last), F.lit(False))
+    blocks = F.sequence(F.lit(1).cast("long"), F.col(whole) + extra.cast("long"))
     return (
         joined.withColumn("block", F.explode(blocks))
         .withColumn("block_rank", _rank(F.col(f"`{doc_id}`"), F.col("block")))
-        .drop("_key", "_whole", "_last")
+        .drop(key, whole, last)
     )

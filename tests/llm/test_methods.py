@@ -209,6 +209,14 @@ def test_min_and_max_estimate_likeness():
     assert abs((x == y).mean() - 0.8) < 0.08 and len(x) == 2 * minmax.PERMUTATIONS
 
 
+def test_an_id_with_several_texts_is_one_document(spark):
+    one, two, three = ("one two three four five six", "a b c d e f g", "k l m n o p q")
+    rows = [(3, one), (5, one), (5, two), (9, two), (9, three), (11, three), (12, "something else for itself alone")]
+    got = minmax.near_duplicates(made_up(spark, []).union(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {(r.doc_id, r.component_id, r.kept) for r in got.collect()} == {
+        (3, 3, True), (5, 3, False), (9, 3, False), (11, 3, False), (12, 12, True)}
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(200)] + [(500, 400), (400, 450), (7, 7)]
     table = spark.createDataFrame(edges, "a long, b long")
@@ -464,11 +472,41 @@ def test_wrappers_do_not_hide_the_article():
             body = f"{outer}<div class=sidebar><p>Popular things</p></div>{inner}{article}{end}{tail}"
             for source in (f"<body>{body}</body>", page(body)):
                 assert html_extract.Page(source).text(None)[0] == want, (outer, inner)
-    assert html_extract.Page("<div class=comments><p>All there is.</div>").text(None)[0] == "All there is."
     hidden = "<p>Shown.<span class=hidden> not</span><b class=overflow-hidden> too</b></p><div style='display:none'><article>x</article></div>"
     assert html_extract.Page(f"<body>{hidden}</body>").text(None)[0] == "Shown. too"
 
 
+def test_pages_of_comments_alone_have_no_text():
+    for source in ("<div class=comments><p>All there is.</div>", "<div id=comment-list><h2>Comments</h2><p>A b.</div>",
+                   "<body><section class='user-comments'><div class=item><p>A long opinion.</div></section></body>"):
+        assert html_extract.Page(source).text(None)[0] == ""
+    assert html_extract.Page("<div class=comments-open><p>All there is.</div>").text(None)[0] == "All there is."
+
+
+def test_articles_split_over_containers(spark):
+    intro, rest = "An intro that says in a few words what follows. " * 4, "Much more text makes up the body. " * 18
+    split = f"<div class=post><h1>Title</h1><div class=intro>{intro}</div><div class=body>{rest}</div></div>"
+    direct = f"<h1>Title</h1><div class=intro>{intro}</div><div class=body>{rest}</div>"
+    want = "\n".join(["Title", intro.strip(), rest.strip()])
+    links = "<div class=x>" + "<a href=/>Another long title of a post</a> " * 9 + "</div>"
+    layouts = [f"<body><div>My Blog</div>{split}{links}</body>", f"<body>{direct}</body>",
+               f"<body><div class=page><div class=name>My Blog</div>{split}<div class=end>Made by us</div></div></body>"]
+    rows = [(10 * k + n, f"https://s{k}.example/{n}", x) for k, x in enumerate(layouts) for n in range(3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.text for r in html_extract.extract(pages).collect()} == {want}
+
+
+def test_deep_pages_are_read_in_linear_time():
+    import time
+
+    n = 30_000
+    for source in ("<div>x" * n, "<b>x<li>" * n, "<i>" * n + "<p>x" * n, "<div>" * n + "<li>x</p>" * n):
+        start = time.process_time()
+        read = html_extract.Page(source)
+        read.votes()
+        assert read.text(None)[0] and time.process_time() - start < 20
+
+
 def test_pages_of_the_table(spark):
     import html
     import re

@@ -1,6 +1,7 @@
 """Hostile rows: every operator gives its defined result for them."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from gatefold.llm import (
     chat,
@@ -98,6 +99,17 @@ def test_mixing(odd, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_columns_with_names_of_the_operators_own(odd):
+    own = ["_id", "_row", "_dropped", "of", "row", "gone", "place", "_key", "_whole", "_last", "whole", "last", "rank"]
+    wide = odd.select("*", *[F.lit(k).alias(c) for k, c in enumerate(own)])
+    cut = line_dedup.dedup_lines(wide)
+    assert cut.columns == wide.columns and cut.count() == 8
+    blocks = mixing.mix(wide)
+    assert set(blocks.columns) == {*wide.columns, "block_rank"}
+    assert blocks.count() == mixing.mix(odd).count()
+    assert {tuple(r) for r in blocks.select(*own).collect()} == {tuple(range(len(own)))}
+
+
 def test_trie(odd, none):
     model = ngram_trie.fit(odd)
     got = {r.doc_id: r for r in ngram_trie.score(odd, model).collect()}
