@@ -45,14 +45,8 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdict on every line of every document, with the one-word bound and the floor for exact copies
-    that its check SQL states."""
-    return line_dedup.line_verdicts(table(spark, sf_dir, "documents"), words_per_edit=None)
-
-
-def op3_line_dedup_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdict on every line of every document as in the pipeline: the bound grows with the line and
-    exact copies of short lines go."""
+    """Verdict on every line of every document, as the pipeline cuts them: the bound grows with the line,
+    and exact copies of short lines go."""
     return line_dedup.line_verdicts(table(spark, sf_dir, "documents"), exact_words=1)
 
 
@@ -149,7 +143,7 @@ def op13_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_html_extraction, op2_mixing, op3_line_dedup, op3_line_dedup_whole, op4_packing, op5_ngram_trie, op6_fingerprints, op7_chat_formatting,
+        op1_html_extraction, op2_mixing, op3_line_dedup, op4_packing, op5_ngram_trie, op6_fingerprints, op7_chat_formatting,
         op8_minmax_near_dedup, op9_host_rules, op10_toxicity,
         op11_prefix_trie, op12_structure_repair, op13_prefix_bpe,
     )
