@@ -13,10 +13,14 @@ from .host_rules import (
     WINDOW,
 )
 from .line_dedup import MIN_WORDS as LINE_WORDS
+from .line_dedup import WORDS_PER_EDIT
 from .mixing import GRID, MAX_REPEATS, SEED
 
 ORACLE: dict[str, str] = {}
 
+# Lines of so many words may differ in more than one.
+LONG = 2 * WORDS_PER_EDIT
+
 _WORDS = r"list_filter(string_split_regex({0}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 
@@ -62,19 +66,19 @@ FROM blocks
 """
 
 ORACLE["op3_line_dedup"] = f"""
-WITH split AS (
+WITH RECURSIVE split AS (
     SELECT doc_id, generate_subscripts(parts, 1) - 1 AS line_no, unnest(parts) AS line
     FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
 ),
 lines AS (SELECT doc_id, line_no, {words("line")} AS w FROM split),
 firsts AS (
-    SELECT w, len(w) AS n, min((doc_id, line_no)) AS place FROM lines
-    WHERE len(w) >= {LINE_WORDS} GROUP BY w
+    SELECT w, len(w) AS n, min((doc_id, line_no)) AS place FROM lines WHERE len(w) > 0 GROUP BY w
 ),
 halves AS (
     SELECT DISTINCT w, n, place, m, part, CASE part WHEN 0 THEN w[1 : h] ELSE w[n - h + 1 : n] END AS half
     FROM (SELECT *, (m - 1) // 2 AS h
-          FROM (SELECT *, unnest([n - 1, n]) AS m FROM firsts)), (VALUES (0), (1)) p(part)
+          FROM (SELECT *, unnest([n - 1, n]) AS m FROM firsts WHERE n BETWEEN {LINE_WORDS} AND {LONG})),
+        (VALUES (0), (1)) p(part)
 ),
 rivals AS (
     SELECT DISTINCT w, n, place FROM halves
@@ -90,13 +94,55 @@ variants AS (
     FROM (SELECT *, unnest(range(1, n + 2)) AS i FROM rivals)
 ),
 keyed AS (SELECT size, i, a, b, min(place) AS first FROM variants GROUP BY size, i, a, b),
+-- long lines: k edits leave all but 4 k of the distinct 4-grams
+longs AS (SELECT row_number() OVER (ORDER BY place) AS id, * FROM firsts WHERE n >= {LONG}),
+grams AS (
+    SELECT DISTINCT id, n, hash(w[i : i + 3]) AS g
+    FROM (SELECT *, unnest(range(1, n - 2)) AS i FROM longs)
+),
+sizes AS (SELECT id, count(*) AS size FROM grams GROUP BY id),
+met AS (
+    SELECT x.id AS p, y.id AS q, least(any_value(x.n), any_value(y.n)) // {WORDS_PER_EDIT} AS k, count(*) AS common
+    FROM grams x JOIN grams y ON x.g = y.g AND y.id < x.id
+        AND abs(x.n - y.n) <= least(x.n, y.n) // {WORDS_PER_EDIT}
+    GROUP BY x.id, y.id
+),
+pairs AS (
+    SELECT p, q, k, x.w AS a, y.w AS b
+    FROM met JOIN sizes ON p = sizes.id JOIN longs x ON p = x.id JOIN longs y ON q = y.id
+    WHERE common >= size - 4 * k
+),
+-- word edit distance, one word of a at a time; v holds the cells up to k places from the diagonal
+cells AS (
+    SELECT p, q, 0::BIGINT AS i,
+        list_transform(range(-k, k + 1), lambda d: CASE WHEN d < 0 THEN 1000000 ELSE d END) AS v
+    FROM pairs
+    UNION ALL
+    SELECT p, q, i + 1,
+        list_transform(range(1, 2 * k + 2), lambda c: list_min(list_transform(t[1 : c], lambda x, r: x + c - r)))
+    FROM (
+        SELECT c.p, c.q, c.i, k,
+            list_transform(range(1, 2 * k + 2), lambda c2: least(
+                coalesce(v[c2 + 1], 1000000) + 1,
+                CASE WHEN i + c2 - k < 1 OR i + c2 - k > len(b) THEN 1000000
+                     WHEN a[i + 1] = b[i + c2 - k] THEN v[c2] ELSE v[c2] + 1 END)) AS t
+        FROM cells c JOIN pairs ON c.p = pairs.p AND c.q = pairs.q
+        WHERE i < len(a) AND list_min(v) <= k
+    )
+),
 near AS (
     SELECT v.place, min(first) AS near FROM variants v JOIN keyed k USING (size, i, a, b)
     WHERE first < v.place GROUP BY v.place
+    UNION ALL
+    SELECT x.place, min(y.place)
+    FROM cells c JOIN pairs ON c.p = pairs.p AND c.q = pairs.q
+        JOIN longs x ON c.p = x.id JOIN longs y ON c.q = y.id
+    WHERE i = len(a) AND v[len(b) - len(a) + k + 1] <= k
+    GROUP BY x.place
 ),
 found AS (
-    SELECT f.w, least(f.place, coalesce(near, f.place)) AS first
-    FROM firsts f LEFT JOIN near n ON f.place = n.place
+    SELECT f.w, least(f.place, coalesce(min(n.near), f.place)) AS first
+    FROM firsts f LEFT JOIN near n ON f.place = n.place GROUP BY f.w, f.place
 ),
 judged AS (
     SELECT l.doc_id, l.line_no, len(l.w) AS n_words,

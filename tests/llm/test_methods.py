@@ -293,6 +293,19 @@ def test_long_lines_with_several_edits(spark):
     assert sum(word_distance(lines[d], lines[e]) > 1 for d, e in want.items()) > 15
 
 
+def test_frequent_keys_are_dealt_out_without_changing_verdicts(spark, documents, monkeypatch):
+    want = {tuple(r) for r in line_dedup.line_verdicts(documents).collect()}
+    monkeypatch.setattr(line_dedup, "_SAMPLE", 1)
+    monkeypatch.setattr(line_dedup, "_HOT_ROWS", 2)
+    monkeypatch.setattr(line_dedup, "_HOT_SHARE", 0.0)
+    assert {tuple(r) for r in line_dedup.line_verdicts(documents).collect()} == want
+    keyed = line_dedup.meeting_keys(documents).distinct()
+    often = keyed.groupBy("key").count().where("count > 1").select("key")
+    shared = line_dedup.shared_keys(documents)
+    assert not often.isEmpty() and shared.exceptAll(keyed.join(often, "key")).isEmpty()
+    assert shared.count() == keyed.join(often, "key").count()
+
+
 def test_exact_copies_of_short_lines_go(spark):
     texts = ["Les.\none two three four\n\n東京都", "Les.\n\n東京都\n  one  two three four", "one two three five\n \nLes"]
     got = [r.text for r in line_dedup.dedup_lines(made_up(spark, texts)).orderBy("doc_id").collect()]
