@@ -356,6 +356,25 @@ def test_elias_fano_finds_every_value():
             assert ((ef.find(asked) >= 0) == np.isin(asked, values)).all()
 
 
+def test_elias_fano_searches_ranges_and_long_runs():
+    """Ranges as a pointer gives them; runs of equal values that are longer than 64 high bits."""
+    rng = np.random.default_rng(8)
+    for values in (np.sort(rng.integers(0, 10_000, 5000)), np.sort(rng.integers(0, 2**61, 4000)),
+                   np.repeat(rng.integers(0, 5, 9).cumsum(), 150)):
+        values = values.astype(np.uint64)
+        ef, n = elias_fano.EliasFano.of(values), len(values)
+        at = rng.integers(0, n - 1, 800)
+        here, behind = ef.span(at)
+        assert (here == values[at]).all() and (behind == values[at + 1]).all()
+        lo = rng.integers(0, n, 800)
+        hi = np.minimum(n, lo + rng.integers(0, 200, 800))
+        asked = values[np.minimum(lo + rng.integers(0, 250, 800), n - 1)]
+        want = np.array([a + np.searchsorted(values[a:b], v) for a, b, v in zip(lo, hi, asked, strict=True)])
+        assert (ef.successor(asked, lo, hi) == want).all()
+        there = np.array([w < b and values[w] == v for w, b, v in zip(want, hi, asked, strict=True)])
+        assert (ef.find(asked, lo, hi) == np.where(there, want, -1)).all()
+
+
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_scores_match_brute_force(spark, documents, texts, order):
     tokens = lambda t: [*t.encode().lower().split(), 1]
@@ -404,6 +423,31 @@ def test_frequent_words_are_spread_without_changing_scores(spark, documents):
         assert math.isclose(plain[r.doc_id], r.score, rel_tol=1e-9, abs_tol=1e-6)
 
 
+def test_levels_hold_the_smoothed_probabilities(spark):
+    """The stored shards answer by themselves: numerators and denominators of every n-gram."""
+    docs = spark.createDataFrame([(1, "a b a b"), (2, "A b c"), (3, None)], "doc_id long, text string")
+    model = ngram_trie.fit(docs)
+    text = [["a", "b", "a", "b", 1], ["a", "b", "c", 1], [1]]
+    one = collections.Counter(itertools.chain(*text))
+    grams = collections.Counter(
+        tuple(reversed(([0, 0, *t])[i : i + k]))
+        for t in text for k in (2, 3) for i in range(3 - k, len(t) + 3 - k)
+    )
+    n, v, heads, scores = sum(one.values()), len(one), 0, []
+    for r in model.shards.collect():
+        trie = ngram_trie.Trie.mapped(bytes(r.levels))
+        assert trie.order == 3 and len(trie.pointers) == len(trie.keys) == len(trie.scores) == 2
+        heads += len(trie.heads[0][0])
+        for pair in trie.scores:
+            scores += list(trie.at(pair, np.arange(len(pair[0]))))
+    want = []
+    for gram, count in grams.items():
+        p0 = model.mu * (one[gram[0]] + 0.1) / (n + 0.1 * (v + 1))
+        want.append(math.log10(p0 + grams[gram[:2]] + (4 * count if len(gram) == 3 else 0)))
+    assert heads == sum(len(g) == 2 for g in grams) and len(scores) == len(want)
+    assert np.abs(np.sort(scores) - np.sort(want)).max() <= 0.5 / 8192 + 1e-9
+
+
 def test_the_query_scores_trigrams(spark, documents):
     """The registered query's scores are those of order 3, longer contexts included."""
     got = {r.doc_id: r.score for r in catalog.op5_ngram_trie(spark, SF).collect()}
