@@ -195,3 +195,13 @@ def test_split_of_very_many_classes(spark):
     df = spark.createDataFrame(rows, "k string, y int")
     got = churn.stratified_split(df, "y", "k").filter("is_test").groupBy("y").count().collect()
     assert len(got) == 150 and all(r["count"] == 1 for r in got)
+
+
+def test_boosting_rows_are_dealt_over_the_cores(spark):
+    """Rows that lie in one partition are spread, in whole waves beyond the number of cores."""
+    cores = spark.sparkContext.defaultParallelism
+    lump = spark.range(1000).coalesce(1)
+    assert churn._spread(lump, 1000).rdd.getNumPartitions() == 1
+    assert churn._spread(lump, 1000, per_task=1000 // cores).rdd.getNumPartitions() == cores
+    assert churn._spread(lump, 1000, per_task=1000 // (2 * cores) + 1).rdd.getNumPartitions() == 2 * cores
+    assert sorted(r.id for r in churn._spread(lump, 1000, per_task=100).collect()) == list(range(1000))
