@@ -126,3 +126,36 @@ def test_customer_measures_need_no_window(spark):
     assert (a.games_attended, a.channels_used, a.preferred_section, a.total_tickets) == (2, 2, "A", 4)
     assert (float(a.total_spend), a.days_since_last, a.promo_rate, a.slump_buyer, a.hot_start_buyer) == (100.0, 5, 1.0, True, False)
     assert (got[None].preferred_section, got[None].games_attended) == (None, 1)
+
+
+def test_tickets_are_exchanged_once_as_they_are(spark):
+    """Combined map-side they would be wider and hardly fewer, and cross twice."""
+    fact = stored(spark, SF, "fact_tickets")
+    for made in (g.agg_customer(fact, "2024-01-10"), g.visit_history(fact)):
+        assert plan(made).count("Exchange hashpartitioning") == 1
+    assert plan(g.agg_event(fact)).count("Exchange hashpartitioning") == 2
+
+
+def test_heavy_keys_are_measured_apart(spark):
+    """Heavy customers, the one without an id among them, keep map-side combination; no row changes."""
+    who = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id").cast("string"))
+    rows = spark.range(6000).select(who.alias("k"), (F.col("id") % 7).alias("e"), "id")
+
+    def measure(part):
+        return part.groupBy("k", "e").agg(F.sum("id").alias("s")).groupBy("k").agg(F.count("e").alias("n"), F.sum("s").alias("s"))
+
+    made, wanted = g.per_key(rows, "k", measure, heavy_rows=320), measure(rows)
+    assert "Union" in plan(made) and "Union" not in plan(g.per_key(rows, "k", measure))
+    assert sorted(made.collect(), key=repr) == sorted(wanted.collect(), key=repr)
+
+
+def test_tables_are_built_in_tasks_by_the_size_of_the_source(spark):
+    from gatefold.plans.stored import SOURCE_BYTES_PER_TASK, sized_tasks
+
+    first = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    rows = spark.range(10)
+    with sized_tasks(spark, 50 * SOURCE_BYTES_PER_TASK):
+        assert "id#" in plan(rows.repartition("id")) and re.search(r"hashpartitioning\(id#\d+L, 50\)", plan(rows.repartition("id")))
+    assert spark.conf.get(first, None) is None
+    with sized_tasks(spark, 1):
+        assert spark.conf.get(first) == spark.conf.get("spark.sql.shuffle.partitions")
