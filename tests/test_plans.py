@@ -159,3 +159,41 @@ def test_tables_are_built_in_tasks_by_the_size_of_the_source(spark):
     assert spark.conf.get(first, None) is None
     with sized_tasks(spark, 1):
         assert spark.conf.get(first) == spark.conf.get("spark.sql.shuffle.partitions")
+
+
+def test_customer_measures_are_both_aggregations_from_one_reduction(spark):
+    """Odd tickets: no event, phase, date, price, channel or section, and one event in two phases."""
+    from datetime import date, timedelta
+    from decimal import Decimal
+
+    columns = (
+        "customer_id string, game_id string, season_phase string, game_date date, ticket_id string, ticket_price decimal(18,4), "
+        "purchase_channel string, section_tier string, is_promo_ticket boolean, is_advance_purchase boolean, "
+        "days_before_game int, seat_tier_rank int, is_jersey_night_game boolean, is_lapsed_reactivation boolean"
+    )
+    phases, flags = ["slump", "hot_start", None], [True, False, None]
+    at = [(i // 5) % 3 if i % 7 > 3 else 0 for i in range(200)]
+    rows = [
+        (f"c{i % 7}", None if i % 11 == 0 else f"g{i % 5}", phases[at[i]],
+         None if i % 13 == 0 else date(2024, 1, 9) + timedelta(days=i % 5 - 3 * at[i]), None if i % 17 == 0 else f"t{i}",
+         None if i % 19 == 0 else Decimal(i), None if i % 6 == 0 else f"ch{i % 4}", None if i % 9 == 0 else f"s{i % 3}",
+         flags[i % 3], flags[i % 2], None if i % 8 == 0 else i % 10, None if i % 4 == 0 else i % 5,
+         None if i % 7 == 2 else i % 29 == 0, flags[(i // 3) % 3])
+        for i in range(200)
+    ]
+    fact = spark.createDataFrame(rows, columns)
+    events = spark.createDataFrame([("g1", "late_push"), ("g2", "hot_start")], "game_id string, season_phase string")
+    made = g.customer_measures(fact, "2024-02-01", events=events).cache()
+    for names, wanted in ((g.CUSTOMER_MEASURES, g.agg_customer(fact, "2024-02-01", events=events)), (g.HISTORY_MEASURES, g.visit_history(fact))):
+        assert {*wanted.columns} == {"customer_id", *names}
+        got = made.select(wanted.columns)
+        assert got.dtypes == wanted.dtypes
+        assert sorted(got.collect(), key=repr) == sorted(wanted.collect(), key=repr)
+    made.unpersist()
+
+
+def test_stored_marts_share_one_pass_over_the_tickets(spark):
+    from gatefold.plans.stored import TABLES
+
+    for name in ("customer_360", "retention_cohort"):
+        assert "fact_tickets" not in plan(TABLES[name][1](spark, SF))
