@@ -55,6 +55,16 @@ def _jobs(spark, group, work):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_rows_are_added_to_their_clusters_in_order():
+    """To the bit what np.add.at gives, as last digits decide when a set of centres stands still."""
+    rng = np.random.default_rng(5)
+    x, near, total = rng.normal(size=(500, 3)) * 1e6, rng.integers(0, 4, 500), rng.normal(size=(5, 3))
+    wanted = total.copy()
+    np.add.at(wanted, near, x)
+    clustering._add_rows(total, near, x.T)
+    assert np.array_equal(total, wanted)
+
+
 def test_all_restarts_share_their_scans_and_match_single_fits(spark):
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
