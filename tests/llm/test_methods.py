@@ -76,6 +76,31 @@ def test_words_encode_like_the_text(text):
     assert packing.WordTokens.of(path).ids(text.encode()) == np.array(ids, dtype="<u4").tobytes()
 
 
+def test_words_of_many_texts_are_looked_up_once():
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path, asked = public_tokenizers.path("word_bpe_49k.json"), collections.Counter()
+
+    class Counted(packing.WordTokens):
+        def get(self, word):
+            asked[word] += 1
+            return super().get(word)
+
+    texts = [
+        "The thing, the\u00a0other THING.", "", "  \x0b the\tthing, ", "the <|ENDOFTEXT|> The", "a<|endoftext|>b the",
+        "e\u0301\u00e9 \u03a3\u0391\u03a3 it's 12,3 \u2003 x\x1cy the", "\u0301the thing,",
+    ]
+    known, coder = Counted(path), Tokenizer.from_file(path)
+    for rows in (pa.array(texts, pa.large_binary()), pa.array([t.encode() for t in ["the", *texts]], pa.binary()).slice(1)):
+        asked.clear()
+        ids, starts = known.ids_of(rows)
+        for at, text in enumerate(texts):
+            assert ids[starts[at] : starts[at + 1]].tolist() == coder.encode(text, add_special_tokens=False).ids
+        assert asked[b"the"] == asked[b"thing,"] == 1
+
+
 # chat ------------------------------------------------------------------------------------------
 
 def test_escape_round_trip():
