@@ -318,6 +318,29 @@ def test_long_lines_with_several_edits(spark):
     assert sum(word_distance(lines[d], lines[e]) > 1 for d, e in want.items()) > 15
 
 
+def test_words_are_sent_for_alike_pairs_only(spark, monkeypatch):
+    rng = random.Random(11)
+    lines = []
+    for _ in range(20):  # lines share a passage, and one of three is within the bound of the one before
+        a = [f"w{rng.randrange(5000)}" for _ in range(40)]
+        a[10:16] = ["all", "of", "them", "say", "this", "often"]
+        near, far = a.copy(), [f"v{rng.randrange(5000)}" for _ in range(40)]
+        near[rng.randrange(40)] = "sub"
+        far[20:26] = a[10:16]
+        lines += [a, near, far]
+    looked_at = {}
+    kept_copy = line_dedup.stored_copy
+
+    def noted(df, label):
+        looked_at[label] = looked_at.get(label, 0) + (made := kept_copy(df, label)).count()
+        return made
+
+    monkeypatch.setattr(line_dedup, "stored_copy", noted)
+    got = line_dedup.line_verdicts(made_up(spark, [" ".join(w) for w in lines])).collect()
+    assert {r.doc_id for r in got if not r.kept} == {d for d in range(60) if d % 3 == 1}
+    assert 20 <= looked_at["line-dedup-pairs"] < 60 < looked_at["line-dedup-grams"]
+
+
 def test_frequent_keys_are_dealt_out_without_changing_verdicts(spark, documents, monkeypatch):
     want = {tuple(r) for r in line_dedup.line_verdicts(documents).collect()}
     monkeypatch.setattr(line_dedup, "_SAMPLE", 1)
