@@ -341,6 +341,24 @@ def test_words_are_sent_for_alike_pairs_only(spark, monkeypatch):
     assert 20 <= looked_at["line-dedup-pairs"] < 60 < looked_at["line-dedup-grams"]
 
 
+def test_lines_of_one_phrase_make_no_pairs(spark, monkeypatch):
+    """Lines that share a phrase and little else are paired in no step after the join that compares them."""
+    rng = random.Random(5)
+    phrase = [f"p{i}" for i in range(12)]
+    lines = [phrase + [f"w{rng.randrange(100000)}" for _ in range(28)] for _ in range(60)]
+    lines.append([*lines[40][:-1], "sub"])
+    compared, alike = [], line_dedup._alike
+
+    def noted(partners, *rest):
+        compared.append(partners.count())
+        return alike(partners, *rest)
+
+    monkeypatch.setattr(line_dedup, "_alike", noted)
+    got = line_dedup.line_verdicts(made_up(spark, [" ".join(w) for w in lines])).collect()
+    assert {r.doc_id: r.first_doc_id for r in got if not r.kept} == {60: 40}
+    assert len(compared) == 2 and max(compared) <= len(lines)
+
+
 def test_frequent_keys_are_dealt_out_without_changing_verdicts(spark, documents, monkeypatch):
     want = {tuple(r) for r in line_dedup.line_verdicts(documents).collect()}
     monkeypatch.setattr(line_dedup, "_SAMPLE", 1)
