@@ -522,6 +522,70 @@ def test_the_query_scores_trigrams(spark, documents):
     assert got.keys() == want.keys() and all(math.isclose(got[d], want[d], abs_tol=1e-6) for d in want)
 
 
+class Told:
+    """Stands for a broadcast value."""
+
+    def __init__(self, value):
+        self.value = value
+
+
+def test_grams_sent_do_not_grow_with_the_shards():
+    """Frequent context words go to a shard by rank, without their hashes."""
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    text = [" ".join(f"w{int(rng.paretovariate(0.6)) % 5000}" for _ in range(1000)) for _ in range(60)]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array(text)], names=["doc_id", "text"])
+    _, _, hashes = ngram_trie._tokens(pa.chunked_array([rows.column(1)]))
+    hashes = np.sort(hashes)
+    ranks = Told(ngram_trie.Ranks(hashes, np.arange(len(hashes), dtype=np.int32)))
+    for per_document in (False, True):
+        few, many = (
+            sum(len(b.column(2)[0].as_py()) for b in ngram_trie._events(3, ngram_trie.Routing(n), ranks, per_document)(iter([rows])))
+            for n in (2, 32)
+        )
+        assert many < 1.5 * few
+
+
+@pytest.mark.parametrize("size", [1, 40, 1 << 20])
+def test_tokens_are_words_between_ascii_white_space(monkeypatch, size):
+    import pyarrow as pa
+    import xxhash
+
+    monkeypatch.setattr(ngram_trie, "BATCH_BYTES", size)
+    texts = ["A b  a\tb\x0b", " ", "", None, "x", "\u00c0B \u00e0b \u00c9", "a " * 50, "\x1ca\x85b  c\r\nd"]
+    rows = [pa.RecordBatch.from_arrays([pa.array(t, pa.string())], names=["text"]) for t in (texts, [], texts[:3])]
+    got = []
+    for part in ngram_trie._parts(iter(rows)):
+        tokens, lengths, hashes = ngram_trie._tokens(part.column(0))
+        columns = [hashes[c] for c in ngram_trie._grams(tokens, lengths, 3)]
+        got += [np.stack([c[e - n : e] for c in columns]).T.tolist() for n, e in zip(lengths, np.cumsum(lengths), strict=True)]
+    want = []
+    for t in texts + texts[:3]:
+        made = [2, 2, *[xxhash.xxh64_intdigest(w) | 4 for w in (t or "").encode().lower().split()], 1]
+        want.append([made[i : i + 3][::-1] for i in range(len(made) - 2)])
+    assert got == want
+
+
+@pytest.mark.parametrize("ranked", [0, 3, 200])
+def test_ranked_words_change_no_score(spark, documents, monkeypatch, ranked):
+    docs = documents.limit(40)
+    plain = ngram_trie.fit(docs)
+    want = {r.doc_id: r for r in ngram_trie.score(documents, plain).collect()}
+    monkeypatch.setattr(ngram_trie, "RANKED", ranked)
+    model = ngram_trie.fit(docs)
+    assert len(model.ranks.value) <= ranked < len(plain.ranks.value)
+    for r in ngram_trie.score(documents, model).collect():
+        assert (r.n_tokens, r.n_known) == want[r.doc_id][1:3]
+        assert math.isclose(r.score, want[r.doc_id].score, abs_tol=1e-6)
+
+
+def test_the_model_is_not_shuffled_to_be_asked(spark, documents):
+    model = ngram_trie.fit(documents)
+    plan = ngram_trie.score(documents, model)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and plan.count("Exchange hashpartitioning(shard") == 1
+
+
 # toxicity --------------------------------------------------------------------------------------
 
 def test_held_out_accuracy(spark):
